@@ -52,6 +52,11 @@ def jaccard(left: Column, right: Column) -> Column:
     return F.coalesce(shared / F.nullif(F.size(left) + F.size(right) - shared, F.lit(0)), F.lit(0.0))
 
 
+def token_overlap(left: Column, right: Column) -> Column:
+    """Jaccard overlap of the whitespace-separated tokens of two texts."""
+    return jaccard(token_set(left), token_set(right))
+
+
 def field_match_score(client: Column, candidate: Column) -> Column:
     """Evidence of an optional field: a client that gave none is neutral."""
     return (

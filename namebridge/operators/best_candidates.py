@@ -40,7 +40,8 @@ from namebridge.operators.candidates import (
     client_side,
     generate_candidates,
     in_same_country,
-    pairs_by_key,
+    pairs_by_lei,
+    pairs_by_registration,
     reference_side,
     same_given,
 )
@@ -169,8 +170,8 @@ def _by_name(
 
 
 def _by_key(clients: DataFrame, reference: DataFrame, config: MatchConfig) -> DataFrame:
-    by_lei = pairs_by_key(clients, reference, "lei", config)
-    by_registration = pairs_by_key(clients, reference, "registration_number", config).filter(~same_lei())
+    by_lei = pairs_by_lei(clients, reference)
+    by_registration = pairs_by_registration(clients, reference, config).filter(~same_lei())
     # An equal LEI settles the score: no need to compare the names.
     client_name = F.when(~same_lei(), F.col("client_clean_name"))
     similarity = name_similarity(client_name, F.col("candidate_clean_name"), config.similarity)

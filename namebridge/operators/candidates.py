@@ -52,10 +52,25 @@ def same_given(client: Column, candidate: Column) -> Column:
     return F.coalesce(is_given(client) & (client == candidate), F.lit(False))
 
 
-def pairs_by_key(clients: DataFrame, reference: DataFrame, field: str, config: MatchConfig) -> DataFrame:
-    """Pairs with an equal, given key; ``field`` is ``lei`` or ``registration_number``."""
-    left = client_side(clients).filter(is_given(F.col(f"client_{field}"))).withColumn("_key", F.col(f"client_{field}"))
-    right = reference_side(reference).withColumn("_key", F.col(f"candidate_{field}")).filter(is_given(F.col("_key")))
+def _keyed_sides(clients: DataFrame, reference: DataFrame, field: str) -> tuple[DataFrame, DataFrame]:
+    left = client_side(clients).withColumn("_key", F.col(f"client_{field}"))
+    right = reference_side(reference).withColumn("_key", F.col(f"candidate_{field}"))
+    return left.filter(is_given(F.col("_key"))), right.filter(is_given(F.col("_key")))
+
+
+def pairs_by_lei(clients: DataFrame, reference: DataFrame) -> DataFrame:
+    """Pairs with an equal LEI.
+
+    The register has one row per LEI: a hot LEI is hot on the client side only, its pairs are as
+    many as its clients, and adaptive execution splits such a partition.
+    """
+    left, right = _keyed_sides(clients, reference, "lei")
+    return left.join(right, "_key").drop("_key")
+
+
+def pairs_by_registration(clients: DataFrame, reference: DataFrame, config: MatchConfig) -> DataFrame:
+    """Pairs with an equal registration number, which may be common on both sides."""
+    left, right = _keyed_sides(clients, reference, "registration_number")
     return spread_join(left, right, "_key", ["client_entity_id"], ["reference_id"], config.cell_rows).drop("_key")
 
 
@@ -70,14 +85,14 @@ def in_same_country() -> Column:
     return same_given(F.col("client_country"), F.col("candidate_country"))
 
 
-def lei_candidates(clients: DataFrame, reference: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    return pairs_by_key(clients, reference, "lei", config).withColumn("candidate_method", F.lit(EXACT_LEI))
+def lei_candidates(clients: DataFrame, reference: DataFrame) -> DataFrame:
+    return pairs_by_lei(clients, reference).withColumn("candidate_method", F.lit(EXACT_LEI))
 
 
 def registration_candidates(
     clients: DataFrame, reference: DataFrame, config: MatchConfig = MatchConfig()
 ) -> DataFrame:
-    pairs = pairs_by_key(clients, reference, "registration_number", config)
+    pairs = pairs_by_registration(clients, reference, config)
     return pairs.withColumn("candidate_method", F.lit(REGISTRATION_NUMBER))
 
 
@@ -119,7 +134,7 @@ def generate_candidates(
     states that and saves the de-duplication shuffle of the pair table, the largest of the run.
     """
     parts = [
-        lei_candidates(clients, reference, config),
+        lei_candidates(clients, reference),
         registration_candidates(clients, reference, config),
         name_candidates(clients, reference, config),
     ]

@@ -14,6 +14,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from namebridge.operators.blocking import spread_rows
+
 _DIALECTS = {
     "spark": {
         "sentences": r"lateral view posexplode(split({text}, r'[.\n]+')) s as pos, sentence",
@@ -93,6 +95,39 @@ _VIEWS = {
             trim(sentence), 'GB', '', null, null, 'Low', 'benchmark'
         from {benchmark_by_sentence} where trim(sentence) <> ''
     """,
+    # Files as they arrive: repeats, rows without a key, padded and missing names, old headers.
+    "fx_lei_file": """
+        select lei, legal_name, country, registration_number,
+            case when country = 'GB' then 'ACTIVE' else 'INACTIVE' end as entity_status,
+            'House "' || address || '"' || chr(10) || 'Floor 2' as first_line, country as city
+        from fx_entities
+        union all
+        select lei, legal_name, country, registration_number,
+            case when country = 'GB' then 'ACTIVE' else 'INACTIVE' end,
+            'House "' || address || '"' || chr(10) || 'Floor 2', country
+        from fx_entities
+        union all
+        select null, legal_name, country, registration_number, null, address, null from fx_internal
+    """,
+    "fx_rr_file": """
+        select child_lei, parent_lei, relationship_type, relationship_status, period_start,
+            case when relationship_status = 'ACTIVE' then 'until further notice' else '2021-03-31' end as period_end
+        from fx_relationships
+        union all
+        select child_lei, parent_lei, relationship_type, relationship_status, period_start,
+            case when relationship_status = 'ACTIVE' then 'until further notice' else '2021-03-31' end
+        from fx_relationships
+        union all
+        select child_lei, null, relationship_type, relationship_status, period_start, null from fx_relationships
+    """,
+    "fx_client_file": """
+        select case page_no % 7 when 5 then null when 6 then '   ' else '  ' || submitted_name || ' ' end
+                as client_name,
+            country, registration_number, lei, address
+        from (select *, cast(substring(client_entity_id, 2) as bigint) as page_no from fx_clients) numbered
+        union all
+        select submitted_name, country, registration_number, lei, address from fx_clients
+    """,
 }
 
 
@@ -122,28 +157,18 @@ def view_sql(dialect: str) -> dict[str, str]:
     return {name: sql.format(**parts) for name, sql in _VIEWS.items()}
 
 
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """The table; a table of few files, read by few tasks, is spread over all cores first."""
+    table = spark.read.parquet(path)
+    return spread_rows(table) if len(table.inputFiles()) < spark.sparkContext.defaultParallelism else table
+
+
 def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Every view as a DataFrame over the parquet files in ``sf_dir``."""
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "pages", "benchmark")}
+    frames = {t: _scan(spark, f"{sf_dir}/{t}.parquet") for t in ("documents", "pages", "benchmark")}
     for name, sql in view_sql("spark").items():
         inputs = {t: df for t, df in frames.items() if f"from {t} " in f"{sql} ".replace("\n", " ")}
         for table in inputs:
             sql = re.sub(rf"\bfrom {table}\b", f"from {{{table}}}", sql)
         frames[name] = spark.sql(sql, **inputs)
     return frames
-
-
-def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views(spark, sf_dir)["fx_entities"]
-
-
-def relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views(spark, sf_dir)["fx_relationships"]
-
-
-def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views(spark, sf_dir)["fx_clients"]
-
-
-def internal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views(spark, sf_dir)["fx_internal"]

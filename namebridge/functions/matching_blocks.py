@@ -16,7 +16,7 @@ from difflib import SequenceMatcher
 import numpy as np
 
 _HEURISTIC_LENGTH = 200
-_TABLE_CELLS = 1 << 16
+_TABLE_CELLS = 1 << 17
 # Padding that equals neither a character (shifted by two) nor the other side's padding.
 _LEFT_PAD, _RIGHT_PAD = 0, 1
 

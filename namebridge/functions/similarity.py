@@ -6,14 +6,22 @@ express; it is one Arrow UDF that takes a batch at a time, and callers hand it d
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from namebridge.functions import matching_blocks
 from namebridge.functions.matching_blocks import ratios
 from namebridge.functions.text import is_given
 
+# The UDF travels with its code, so executors need no installed package.
+for module in (matching_blocks, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(module)
+
 # Whitespace as Python's str.split() sees it: Unicode white space and the separators 1c-1f.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 

@@ -5,8 +5,8 @@ Same rows as ``rank_candidates(score_candidates(generate_candidates(...)), depth
 * Profiles, not rows, are paired: the distinct (cleaned name, country) of clients without an
   address and of the register, and (cleaned name, country, address) where the client gave one.
   Copies add nothing to that.
-* The pairs are scored where the block join makes them and cut to ``depth`` per client profile
-  before anything is shuffled.
+* The pairs are scored where the block join makes them, evenly spread by its cells, and cut to
+  ``depth`` per client profile before anything is shuffled.
 * What is left joins the clients, and per register profile the ``depth`` smallest reference ids:
   further copies tie on score and lose on id.
 
@@ -31,7 +31,7 @@ from namebridge.functions.similarity import (
     token_set,
 )
 from namebridge.functions.text import first_token, is_given, name_prefix
-from namebridge.operators.blocking import block_join, spread_rows
+from namebridge.operators.blocking import block_join
 from namebridge.operators.candidates import (
     EXACT_LEI,
     NAME_COUNTRY_BLOCK,
@@ -114,13 +114,12 @@ def leading_profile_pairs(
         prefix_length=config.prefix_length, cell_rows=config.cell_rows, include_empty=config.include_empty_block,
     )
     evidence = _evidence(with_address)
-    scored_fields = pairs.withColumns(evidence).select(*left_profile, *right_profile, "_first_id", *evidence)
-    if config.similarity == "sequence":
-        scored_fields = spread_rows(scored_fields, *left_profile, *right_profile)
     names = F.col("client_clean_name"), F.col("candidate_clean_name")
     best_first = Window.partitionBy(*left_profile).orderBy(*candidate_order("_first_id"))
     return (
-        scored_fields.withColumn("name_similarity", name_similarity(*names, config.similarity))
+        pairs.withColumns(evidence)
+        .select(*left_profile, *right_profile, "_first_id", *evidence)
+        .withColumn("name_similarity", name_similarity(*names, config.similarity))
         .withColumn("match_score", score_by_name(config))
         .withColumn("_n", F.row_number().over(best_first))
         .filter(F.col("_n") <= depth)

@@ -36,12 +36,15 @@ def block_keys(name: Column, prefix_length: int) -> Column:
 
 
 def spread_rows(df: DataFrame, *columns: str) -> DataFrame:
-    """Hash the rows over all shuffle partitions.
+    """Hash the rows over all cores, several tasks to each.
 
     For steps whose cost per row is high (pairs, Python): adaptive execution would merge
-    partitions by their bytes and leave cores idle.
+    partitions by their bytes and leave cores idle, and with one task per core the slowest decides.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism
+    )
     return df.repartition(partitions, *columns)
 
 

@@ -16,6 +16,11 @@ MATCH = "run_id string, client_entity_id string, submitted_name string, matched_
     "match_score double, confidence_band string, match_reason string"
 
 
+def ordered(rows):
+    """Rows in ascending order, nulls last."""
+    return sorted(rows, key=lambda row: [(v is None, 0 if v is None else v) for v in row])
+
+
 def clients(spark, *rows):
     """Rows of (name, country, registration number, lei, address), shorter ones padded with nulls."""
     padded = [(f"C{i}", *r, *[None] * (5 - len(r))) for i, r in enumerate(rows)]

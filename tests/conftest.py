@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from tests.builders import ordered
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,6 +27,6 @@ def rows():
 
     def collect(df, *columns):
         picked = df.select(*columns) if columns else df
-        return sorted((tuple(r) for r in picked.collect()), key=repr)
+        return ordered(tuple(r) for r in picked.collect())
 
     return collect

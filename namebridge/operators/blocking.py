@@ -83,12 +83,11 @@ def spread_join(
     """
     left, right = left.filter(F.col(key).isNotNull()), right.filter(F.col(key).isNotNull())
     cells = _cells_per_key(left, right, key, cell_rows)
-    right_rows = _spread(right, cells, key, "right", "left", right_id)
-    return (
-        _spread(left, cells, key, "left", "right", left_id)
-        .join(spread_rows(right_rows, key, *_CELLS), [key, *_CELLS])
-        .drop(*_CELLS)
-    )
+    left = spread_rows(_spread(left, cells, key, "left", "right", left_id), key, *_CELLS)
+    right = spread_rows(_spread(right, cells, key, "right", "left", right_id), key, *_CELLS)
+    # The pairs are the work. Broadcasting a small side would leave them in as many tasks as the
+    # other side has input splits, so both sides are always shuffled by cell.
+    return left.hint("merge").join(right, [key, *_CELLS]).drop(*_CELLS)
 
 
 def block_join(

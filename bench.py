@@ -21,7 +21,7 @@ from namebridge.operators import mapping
 from namebridge.operators.best_candidates import best_candidates
 from namebridge.operators.hierarchy import enrich_hierarchy
 from namebridge.operators.ranking import match_results, review_queue
-from namebridge.plans.stages import LEV, Stages, stages
+from namebridge.plans.stages import Stages, stages
 
 SEQ = MatchConfig()
 
@@ -31,7 +31,6 @@ QUERIES = {
     "candidates_name_country": lambda st: cand.name_country_candidates(st.clients(), st.reference()),
     "candidates_name_only": lambda st: cand.name_only_candidates(st.clients(), st.reference()),
     "best_candidates": lambda st: best_candidates(st.clients(), st.reference(), SEQ),
-    "best_candidates_lev": lambda st: best_candidates(st.clients(), st.reference(), LEV),
     "review_queue": lambda st: review_queue(st.ranked(SEQ), SEQ),
     "hierarchy_enrich": lambda st: enrich_hierarchy(
         match_results(st.ranked(SEQ), SEQ), st.edges(), st.entities(), SEQ

@@ -56,8 +56,8 @@ def jaccard(left: Column, right: Column) -> Column:
 
     Pass columns rather than expressions: the arrays are used more than once.
     """
-    shared = F.size(F.array_intersect(left, right))
-    return F.coalesce(shared / F.nullif(F.size(left) + F.size(right) - shared, F.lit(0)), F.lit(0.0))
+    shared = F.array_size(F.array_intersect(left, right))
+    return F.coalesce(shared / F.nullif(F.array_size(left) + F.array_size(right) - shared, F.lit(0)), F.lit(0.0))
 
 
 def token_overlap(left: Column, right: Column) -> Column:
@@ -79,6 +79,6 @@ def address_score(client: Column, client_tokens: Column, candidate_tokens: Colum
     """Token overlap of the addresses; neutral without a client address, weak without a candidate's."""
     return (
         F.when(~is_given(client), F.lit(ADDRESS_NOT_GIVEN))
-        .when((F.size(client_tokens) > 0) & (F.size(candidate_tokens) > 0), jaccard(client_tokens, candidate_tokens))
+        .when((F.array_size(client_tokens) > 0) & (F.array_size(candidate_tokens) > 0), jaccard(client_tokens, candidate_tokens))
         .otherwise(F.lit(0.3))
     )

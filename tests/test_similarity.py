@@ -48,6 +48,16 @@ def test_token_overlap(spark, left, right, expected):
     assert df.select(token_overlap(F.col("a"), F.col("b"))).first()[0] == expected
 
 
+def test_missing_texts_overlap_nothing_without_ansi_mode(spark):
+    df = spark.createDataFrame([(None, None), (None, "a")], "a string, b string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert [r[0] for r in df.select(token_overlap(F.col("a"), F.col("b"))).collect()] == [0.0, 0.0]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 @pytest.mark.parametrize(
     ("client", "candidate", "expected"),
     [(None, None, 0.5), ("", "x", 0.5), ("x", None, 0.3), ("x", "", 0.3), ("x", "x", 1.0), ("x", "y", 0.0)],

@@ -14,8 +14,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namebridge.operators.blocking import spread_rows
-
 _DIALECTS = {
     "spark": {
         "sentences": r"lateral view posexplode(split({text}, r'[.\n]+')) s as pos, sentence",
@@ -159,8 +157,8 @@ def view_sql(dialect: str) -> dict[str, str]:
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
     """The table; a table of few files, read by few tasks, is spread over all cores first."""
-    table = spark.read.parquet(path)
-    return spread_rows(table) if len(table.inputFiles()) < spark.sparkContext.defaultParallelism else table
+    table, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
 
 
 def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namebridge.llm import sentencepiece_codec, sharding
+from namebridge.llm import jaccard_join, sentencepiece_codec, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_virtual_slots": sharding.query,
         "op6_sentencepiece": sentencepiece_codec.query,
+        "op10_jaccard_join": jaccard_join.query,
     }
 
 

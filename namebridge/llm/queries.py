@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namebridge.llm import jaccard_join, sentencepiece_codec, sharding
+from namebridge.llm import jaccard_join, sentencepiece_codec, sharding, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_virtual_slots": sharding.query,
         "op6_sentencepiece": sentencepiece_codec.query,
+        "op7_suffix_dedup": suffix_dedup.query,
         "op10_jaccard_join": jaccard_join.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_suffix_dedup": suffix_dedup.SQL}

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namebridge.llm import jaccard_join, sentencepiece_codec, sharding, suffix_dedup
+from namebridge.llm import jaccard_join, language_id, sentencepiece_codec, sharding, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_recurrent_language": language_id.query,
         "op3_virtual_slots": sharding.query,
+        "op4_convolutional_toxicity": toxicity.query,
         "op6_sentencepiece": sentencepiece_codec.query,
         "op7_suffix_dedup": suffix_dedup.query,
         "op10_jaccard_join": jaccard_join.query,

@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namebridge.llm import jaccard_join, language_id, quality_rules, sentencepiece_codec, sharding, suffix_dedup, toxicity
+from namebridge.llm import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    quality_rules,
+    sentencepiece_codec,
+    sharding,
+    suffix_dedup,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_convolutional_toxicity": toxicity.query,
         "op6_sentencepiece": sentencepiece_codec.query,
         "op7_suffix_dedup": suffix_dedup.query,
+        "op8_template_decontamination": decontamination.query,
         "op9_line_frequency": quality_rules.query,
         "op10_jaccard_join": jaccard_join.query,
     }

@@ -10,6 +10,7 @@ from namebridge.llm import (
     decontamination,
     jaccard_join,
     language_id,
+    license_scan,
     quality_rules,
     sentencepiece_codec,
     sharding,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_recurrent_language": language_id.query,
         "op3_virtual_slots": sharding.query,
         "op4_convolutional_toxicity": toxicity.query,
+        "op5_license_rules": license_scan.query,
         "op6_sentencepiece": sentencepiece_codec.query,
         "op7_suffix_dedup": suffix_dedup.query,
         "op8_template_decontamination": decontamination.query,

@@ -11,6 +11,7 @@ from namebridge.llm import (
     jaccard_join,
     language_id,
     license_scan,
+    lm_scoring,
     quality_rules,
     sentencepiece_codec,
     sharding,
@@ -22,6 +23,7 @@ from namebridge.llm import (
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_recurrent_language": language_id.query,
+        "op2_maximum_entropy": lm_scoring.query,
         "op3_virtual_slots": sharding.query,
         "op4_convolutional_toxicity": toxicity.query,
         "op5_license_rules": license_scan.query,

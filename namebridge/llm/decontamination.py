@@ -143,9 +143,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None =
     config = config or TemplateConfig()
     leaks = written(matches(docs, benchmark, config).select("h", "size").distinct(), "leaks")
     text = F.coalesce("text", F.lit(""))
-    rows = docs.withColumns({"_h": F.xxhash64("doc_id", text), "_n": F.octet_length(text)})
-    leaks = _sized(leaks.toDF("_h", "_n"), config.broadcast_rows)
-    return rows.join(leaks, ["_h", "_n"], "left_anti").drop("_h", "_n")
+    rows = docs.withColumns({"_llm_h": F.xxhash64("doc_id", text), "_llm_n": F.octet_length(text)})
+    leaks = _sized(leaks.toDF("_llm_h", "_llm_n"), config.broadcast_rows)
+    return rows.join(leaks, ["_llm_h", "_llm_n"], "left_anti").drop("_llm_h", "_llm_n")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

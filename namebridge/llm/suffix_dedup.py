@@ -393,10 +393,14 @@ def repeated(docs: DataFrame, config: DedupConfig | None = None) -> DataFrame:
 
 
 def _handle(docs: DataFrame) -> DataFrame:
-    """docs with h and c, which tell texts (with their ids) apart: a 64-bit hash, and length with checksum."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumns({
-        "h": F.xxhash64("doc_id", text), "c": F.octet_length(text).cast("long") * (1 << 32) + F.crc32(text)})
+    """text with h and c, which tell texts (with their ids) apart."""
+    h, c = _parts("doc_id", F.coalesce("text", F.lit("")))
+    return docs.select("text", h.alias("h"), c.alias("c"))
+
+
+def _parts(doc_id, text) -> tuple:
+    """A 64-bit hash, and length with checksum."""
+    return F.xxhash64(doc_id, text), F.octet_length(text).cast("long") * (1 << 32) + F.crc32(text)
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -428,13 +432,16 @@ def dedup(docs: DataFrame, config: DedupConfig | None = None, whole_characters:
         base = [f for f in base if f.name != "text"]
     schema = T.StructType([*base, *extra])
     names = [f.name for f in base]
-    joined = _handle(docs.select("text", *[n for n in names if n != "text"])).join(spans, ["h", "c"], "left").drop("h", "c")
+    text = F.coalesce("text", F.lit(""))
+    h, c = _parts("doc_id", text)
+    joined = docs.select("text", *[n for n in names if n != "text"], h.alias("_llm_h"), c.alias("_llm_c")) \
+        .join(spans.toDF("_llm_h", "_llm_c", "_llm_spans"), ["_llm_h", "_llm_c"], "left").drop("_llm_h", "_llm_c")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             n_bytes, n_removed, n_spans, digest, rest = [], [], [], [], []
-            for text, found in zip(texts, batch.column("spans").to_pylist(), strict=True):
+            for text, found in zip(texts, batch.column("_llm_spans").to_pylist(), strict=True):
                 data = text or b""
                 cuts = merged(found)
                 if whole_characters:

@@ -18,6 +18,9 @@ class MatchConfig:
     review_depth: int = 5
     #: "sequence" is the matching-blocks ratio, "levenshtein" the edit-distance form of it.
     similarity: str = "sequence"
+    #: From 200 characters of the register name on, leave out characters that make up more than a hundredth
+    #: of it, as difflib does by default.
+    popularity_heuristic: bool = False
 
     # Blocking.
     prefix_length: int = 4
@@ -39,7 +42,8 @@ class MatchConfig:
     #: Only ACTIVE edges, one parent per child and role (the latest period start).
     active_edges_only: bool = False
 
-    export_rows: int = 100_000
+    #: Rows per exported table, the first by its keys; all rows by default.
+    export_rows: int | None = None
 
     def __post_init__(self) -> None:
         if self.similarity not in ("sequence", "levenshtein"):

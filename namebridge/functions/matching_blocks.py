@@ -5,8 +5,9 @@ what lies left and right of it. Here all pairs of an Arrow batch take that step
 numpy table per group of similar length holds the common suffix lengths, and the pieces left and
 right of every block found form the next round.
 
-Results equal ``difflib.SequenceMatcher(None, left, right).ratio()``. Its popularity heuristic
-applies from 200 characters on the right; those pairs go to difflib itself.
+Results equal ``difflib.SequenceMatcher(None, left, right, autojunk=False).ratio()`` for strings of any
+length. On request the popularity heuristic of difflib applies (from 200 characters on the right); those
+pairs then go to difflib itself.
 """
 
 from __future__ import annotations
@@ -101,22 +102,21 @@ def _matching_characters(left: _Strings, right: _Strings) -> np.ndarray:
         pieces = tuple(np.concatenate(parts) for parts in zip(*following, strict=True))
 
 
-def ratios(left: list[str | None], right: list[str | None]) -> np.ndarray:
+def ratios(left: list[str | None], right: list[str | None], popularity_heuristic: bool = False) -> np.ndarray:
     """Ratio per pair; 0 if either string is missing or empty."""
     result = np.zeros(len(left))
     rows: dict[tuple[str, str], list[int]] = {}
     for row, (a, b) in enumerate(zip(left, right, strict=True)):
         if a and b:
             rows.setdefault((a, b), []).append(row)
-    short = [pair for pair in rows if len(pair[1]) < _HEURISTIC_LENGTH]
-    values = {
-        pair: SequenceMatcher(None, *pair).ratio() for pair in rows if len(pair[1]) >= _HEURISTIC_LENGTH
-    }
-    if short:
-        a, b = _Strings([p[0] for p in short]), _Strings([p[1] for p in short])
+    by_heuristic = {pair for pair in rows if popularity_heuristic and len(pair[1]) >= _HEURISTIC_LENGTH}
+    values = {pair: SequenceMatcher(None, *pair).ratio() for pair in by_heuristic}
+    plain = [pair for pair in rows if pair not in by_heuristic]
+    if plain:
+        a, b = _Strings([p[0] for p in plain]), _Strings([p[1] for p in plain])
         if a.codes.dtype != b.codes.dtype:
             a.codes, b.codes = a.codes.astype(np.uint32), b.codes.astype(np.uint32)
-        values.update(zip(short, 2.0 * _matching_characters(a, b) / (a.lengths + b.lengths), strict=True))
+        values.update(zip(plain, 2.0 * _matching_characters(a, b) / (a.lengths + b.lengths), strict=True))
     for pair, indices in rows.items():
         result[indices] = values[pair]
     return result

@@ -1,7 +1,7 @@
 """Similarity of names and fields.
 
-Everything is a native Column expression except the matching-blocks ratio, which SQL cannot
-express; it is one Arrow UDF that takes a batch at a time, and callers hand it distinct names.
+Everything is a native Column expression except the matching-blocks ratio, for which Spark has no
+function; it is one Arrow UDF that takes a batch at a time, and callers hand it distinct names.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from namebridge.config import MatchConfig
 from namebridge.functions import matching_blocks
 from namebridge.functions.matching_blocks import ratios
 from namebridge.functions.text import is_given
@@ -34,6 +35,12 @@ def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(ratios(left.tolist(), right.tolist()))
 
 
+@F.pandas_udf(DoubleType())
+def sequence_ratio_with_heuristic(left: pd.Series, right: pd.Series) -> pd.Series:
+    """The same with the popularity heuristic for long names on the right."""
+    return pd.Series(ratios(left.tolist(), right.tolist(), popularity_heuristic=True))
+
+
 def levenshtein_similarity(left: Column, right: Column) -> Column:
     """``1 - edits / longer length``; 0 if either is missing."""
     longer = F.greatest(F.length(left), F.length(right))
@@ -42,8 +49,11 @@ def levenshtein_similarity(left: Column, right: Column) -> Column:
     ).otherwise(F.lit(0.0))
 
 
-def name_similarity(left: Column, right: Column, kind: str) -> Column:
-    return sequence_ratio(left, right) if kind == "sequence" else levenshtein_similarity(left, right)
+def name_similarity(left: Column, right: Column, config: MatchConfig) -> Column:
+    """The similarity that the configuration names."""
+    if config.similarity == "levenshtein":
+        return levenshtein_similarity(left, right)
+    return (sequence_ratio_with_heuristic if config.popularity_heuristic else sequence_ratio)(left, right)
 
 
 def token_set(text: Column) -> Column:

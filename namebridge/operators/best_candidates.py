@@ -53,6 +53,7 @@ from namebridge.operators.scoring import (
     score_candidates,
     score_rows,
 )
+from namebridge.sources.tables import materialise
 
 
 def _keyed_rules_never_score_less(config: MatchConfig) -> bool:
@@ -119,7 +120,7 @@ def leading_profile_pairs(
     return (
         pairs.withColumns(evidence)
         .select(*left_profile, *right_profile, "_first_id", *evidence)
-        .withColumn("name_similarity", name_similarity(*names, config.similarity))
+        .withColumn("name_similarity", name_similarity(*names, config))
         .withColumn("match_score", score_by_name(config))
         .withColumn("_n", F.row_number().over(best_first))
         .filter(F.col("_n") <= depth)
@@ -158,9 +159,10 @@ def _by_name(
     left = _with_profile(client_side(clients), "client").filter(gave_address if with_address else ~gave_address)
     right = _with_profile(reference_side(reference), "candidate")
     left_profile, right_profile = _profile("client", with_address), _profile("candidate", with_address)
+    # Written, so that both joins shuffle both sides and adaptive execution can split a frequent profile.
+    leading = materialise(leading_profile_pairs(left, right, config, depth, with_address), "leading_pairs")
     pairs = (
-        leading_profile_pairs(left, right, config, depth, with_address)
-        .join(left, left_profile)
+        leading.join(left, left_profile)
         .join(_first_copies(right, right_profile, depth), right_profile)
         .filter(~same_lei() & ~same_registration())
     )
@@ -173,7 +175,7 @@ def _by_key(clients: DataFrame, reference: DataFrame, config: MatchConfig) -> Da
     by_registration = pairs_by_registration(clients, reference, config).filter(~same_lei())
     # An equal LEI settles the score: no need to compare the names.
     client_name = F.when(~same_lei(), F.col("client_clean_name"))
-    similarity = name_similarity(client_name, F.col("candidate_clean_name"), config.similarity)
+    similarity = name_similarity(client_name, F.col("candidate_clean_name"), config)
     pairs = by_lei.unionByName(by_registration).withColumn("name_similarity", similarity)
     by_lei_method = F.when(same_lei(), EXACT_LEI)
     by_registration_method = F.when(same_registration(), REGISTRATION_NUMBER)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from namebridge.config import MatchConfig
 from namebridge.functions.text import upper_key
+from namebridge.operators.blocking import spread_join
 
 # Relationship types of the register.
 ROLES = {"direct": "IS_DIRECTLY_CONSOLIDATED_BY", "ultimate": "IS_ULTIMATELY_CONSOLIDATED_BY"}
@@ -69,8 +70,11 @@ def enrich_hierarchy(
     A match with several parents in a role gives a row per parent unless
     ``config.active_edges_only`` is set.
     """
-    matched_leis = matches.select("matched_lei").filter(F.col("matched_lei").isNotNull()).distinct()
-    enriched = matches
+    given = F.col("matched_lei").isNotNull()
+    both = matched_leis = matches.select("matched_lei").filter(given).distinct()
     for role in ROLES:
-        enriched = enriched.join(parents(matched_leis, edges, entities, role, config), "matched_lei", "left")
-    return enriched.select(*HIERARCHY_COLUMNS)
+        both = both.join(parents(matched_leis, edges, entities, role, config), "matched_lei", "left")
+    # Both roles are resolved per distinct LEI; the matches meet them once, a hot LEI in many cells.
+    found = spread_join(matches.filter(given), both, "matched_lei", matches.columns, both.columns, config.cell_rows)
+    without = matches.filter(~given)
+    return found.unionByName(without, allowMissingColumns=True).select(*HIERARCHY_COLUMNS)

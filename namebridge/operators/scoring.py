@@ -11,12 +11,13 @@ from namebridge.functions.similarity import (
     field_match_score,
     jaccard,
     levenshtein_similarity,
-    sequence_ratio,
+    name_similarity,
     token_set,
 )
 from namebridge.functions.text import is_given
 from namebridge.operators.blocking import spread_rows
 from namebridge.operators.candidates import NAME_COUNTRY_BLOCK, same_given
+from namebridge.sources.tables import materialise
 
 # Weights of the evidence.
 REGISTRATION_BASE, REGISTRATION_NAME_WEIGHT, REGISTRATION_COUNTRY_WEIGHT = 0.80, 0.10, 0.10
@@ -120,7 +121,9 @@ def with_name_similarity(candidates: DataFrame, config: MatchConfig) -> DataFram
         return candidates.withColumn("name_similarity", levenshtein_similarity(*map(F.col, _NAMES)))
     needed = candidates.filter(~same_lei() & is_given(F.col(_NAMES[0])) & is_given(F.col(_NAMES[1])))
     distinct = spread_rows(needed.select(*_NAMES).distinct(), *_NAMES)
-    ratios = distinct.withColumn("name_similarity", sequence_ratio(*_NAMES))
+    names = map(F.col, _NAMES)
+    # Written, so that the join shuffles both sides and adaptive execution can split a frequent pair.
+    ratios = materialise(distinct.withColumn("name_similarity", name_similarity(*names, config)), "ratios")
     return candidates.join(ratios, _NAMES, "left").withColumn(
         "name_similarity", F.coalesce("name_similarity", F.lit(0.0))
     )

@@ -70,6 +70,54 @@ _BY_REGISTRATION = "0.80e0 + 0.10e0 * similarity + 0.10e0 * country_score"
 _BY_NAME = """least(0.60e0 * similarity + 0.20e0 * token_overlap + 0.15e0 * country_score + 0.05e0 * address_score
     + case when candidate_method = 'NAME_COUNTRY_BLOCK' then 0.03e0 else 0e0 end, 0.98e0)"""
 
+#: The matching-blocks ratio: runs of equal characters on a diagonal of a pair of names; then, piece by
+#: piece, the longest run within the piece (the first of several), and the pieces left and right of it.
+_RATIO = {
+    "name_pairs": """
+        select row_number() over () as id, a, b from (
+            select distinct client_clean_name as a, candidate_clean_name as b from candidates
+            where client_clean_name <> '' and candidate_clean_name <> '') named
+    """,
+    "equal_cells": """
+        select l.id, l.i, r.j from
+            (select id, i, substring(a, i + 1, 1) as c
+             from (select id, a, unnest(range(length(a))) as i from name_pairs) x) l
+            join (select id, j, substring(b, j + 1, 1) as c
+                  from (select id, b, unnest(range(length(b))) as j from name_pairs) y) r
+            on l.id = r.id and l.c = r.c
+    """,
+    "diagonal_runs": """
+        select id, min(i) as i0, min(j) as j0, count(*) as n
+        from (select *, i - row_number() over (partition by id, i - j order by i) as gap from equal_cells) numbered
+        group by id, i - j, gap
+    """,
+    "pieces": """
+        select id, 0::bigint as alo, length(a)::bigint as ahi, 0::bigint as blo, length(b)::bigint as bhi,
+            0::bigint as got
+        from name_pairs
+        union all
+        select id, case when side = 0 then alo else bi + size end, case when side = 0 then bi else ahi end,
+            case when side = 0 then blo else bj + size end, case when side = 0 then bj else bhi end,
+            case when side = 0 then size else 0 end
+        from (
+            select id, alo, ahi, blo, bhi, (best).s as size, -(best).i as bi, -(best).j as bj
+            from (
+                select id, alo, ahi, blo, bhi, max({'s': stop - start, 'i': -(i0 + start), 'j': -(j0 + start)}) as best
+                from (
+                    select p.id, alo, ahi, blo, bhi, i0, j0, greatest(0, alo - i0, blo - j0) as start,
+                        least(n, ahi - i0, bhi - j0) as stop
+                    from pieces p join diagonal_runs r on p.id = r.id where ahi > alo and bhi > blo) clipped
+                where stop > start group by id, alo, ahi, blo, bhi) longest) found
+            cross join (values (0), (1)) sides(side)
+    """,
+    "ratios": """
+        select a, b, 2e0 * matched / (length(a) + length(b)) as ratio
+        from (select id, sum(got) as matched from pieces group by id) counted join name_pairs using (id)
+    """,
+}
+#: Steps that refer to themselves.
+_RECURSIVE = ("pieces",)
+
 _EVIDENCE = f"""
     select *,
         coalesce(client_lei <> '' and client_lei = candidate_lei, false) as same_lei,
@@ -299,6 +347,7 @@ _STEPS = {
         select * from lei_candidates union all select * from registration_candidates
         union all select * from name_country_candidates union all select * from name_only_candidates
     """,
+    **_RATIO,
     "evidence": _EVIDENCE,
     "scored": _SCORED,
     "ranked": _RANKED,
@@ -321,13 +370,98 @@ _STEPS = {
     """,
 }
 
+_RATIO_EVIDENCE = f"""
+    select e.* replace (coalesce(r.ratio, 0e0) as similarity)
+    from ({_EVIDENCE}) e left join ratios r on e.client_clean_name = r.a and e.candidate_clean_name = r.b
+"""
+
+
+def _chain(suffix: str, first: str, changed: dict[str, str]) -> None:
+    """Adds copies of the steps from ``first`` to ``unmapped``, some changed, that refer to each other."""
+    names = list(_STEPS)
+    names = [n for n in names[names.index(first) : names.index("unmapped") + 1] if n in changed or n in _RATIO or n in _FLOW]
+    for name in names:
+        sql = changed.get(name, _STEPS[name])
+        _STEPS[name + suffix] = re.sub(
+            r"\b(from|join)\s+(\w+)\b", lambda m: f"{m[1]} {m[2]}{suffix}" if m[2] in names else m[0], sql)
+
+
+#: Steps through which rows flow from the clients to the gold table.
+_FLOW = (
+    "clients", "lei_candidates", "registration_candidates", "name_country_candidates", "name_only_candidates",
+    "candidates", "evidence", "scored", "ranked", "matches", "hierarchy", "role_keys", "lei_mappings", "name_mappings",
+    "fuzzy_mappings", "best", "unmapped",
+)
 _KEY = "client_entity_id, reference_id, candidate_method"
 _ID_FIELDS = ("submitted_name", "country", "registration_number", "lei", "address")
 _CLIENT_ID = "'C' || substring(sha256(" + " || ".join(
     f"coalesce(cast(length({c}) as varchar) || ':' || {c}, '-')" for c in _ID_FIELDS
 ) + f"), 1, {ID_HEX_DIGITS})"
 
+def _queue(ranked: str) -> str:
+    return f"""
+        select 'run_001' as run_id, client_entity_id, submitted_name, candidate_rank,
+            reference_id as matched_reference_id, candidate_lei as matched_lei, candidate_name as matched_name,
+            candidate_source as matched_source, candidate_method, match_score, match_reason,
+            'PENDING' as review_status, cast(null as varchar) as reviewer, cast(null as varchar) as review_comment
+        from {ranked} where candidate_rank <= 5
+    """
+
+
+#: Columns of the four exported tables, in the order in which the files have them.
+_EXPORTED = {
+    "gold_mapping": ("client_entity_id", "matched_gleif_lei", "direct_parent_lei", "ultimate_parent_lei",
+                     "internal_client_entity_id", "internal_client_name", "internal_mapping_type", "confidence_band",
+                     "match_reason"),
+    "review_queue": ("client_entity_id", "candidate_rank", "matched_reference_id", "matched_lei", "matched_name",
+                     "candidate_method", "match_reason", "review_status", "reviewer"),
+    "match_results": ("client_entity_id", "matched_reference_id", "matched_lei", "matched_name", "candidate_method",
+                      "confidence_band", "match_reason", "country_match"),
+    "entity_hierarchy": ("client_entity_id", "matched_lei", "direct_parent_lei", "direct_parent_name",
+                         "direct_relationship_status", "direct_period_start", "ultimate_parent_lei",
+                         "ultimate_parent_name", "match_reason"),
+}
+
+
+def exported_columns(table: str) -> tuple[str, ...]:
+    """Columns without scores, which files round on their own terms."""
+    return _EXPORTED[table]
+
+
+def _exported(table: str, source: str) -> str:
+    columns = ", ".join(f"coalesce(cast({c} as varchar), '-')" for c in _EXPORTED[table])
+    return f"select '{table}' as table_name, concat_ws('|', {columns}) as row_text from {source}"
+
+
+_STEPS["upload_ids"] = f"select {_CLIENT_ID} as client_entity_id, * from ingested_clients"
+#: The default path, with the matching-blocks ratio; and the same from the uploaded file on.
+_chain("_seq", "evidence", {"evidence": _RATIO_EVIDENCE})
+_chain("_file", "clients", {"evidence": _RATIO_EVIDENCE, "clients": _normalised(
+    "upload_ids", "submitted_name", "client_entity_id, submitted_name, country, registration_number, lei, address")})
+
+_STEPS["gold_lev"] = f"{_gold('best', True)} union all {_gold('unmapped', False)}"
+_STEPS["queue_lev"] = _queue("ranked")
+
+_SCORE_COLUMNS = f"{_KEY}, match_score, confidence_band, match_reason, country_match"
+
+
 _FINAL = {
+    "name_ratio": """
+        select l.clean_name as client_clean_name, r.clean_name as candidate_clean_name, ratio as name_ratio
+        from (select distinct clean_name from clients) l join (select distinct clean_name from reference) r
+            on l.clean_name <> '' and (split_part(l.clean_name, ' ', 1) = split_part(r.clean_name, ' ', 1)
+                or substring(l.clean_name, 1, 4) = substring(r.clean_name, 1, 4))
+            join ratios on l.clean_name = a and r.clean_name = b
+    """,
+    "score_candidates": f"select {_SCORE_COLUMNS} from scored_seq",
+    "ranked_candidates": f"select {_KEY}, match_score, candidate_rank from ranked_seq",
+    "match_results": "select * from matches_seq",
+    "review_queue": _queue("ranked_seq"),
+    "gold_mapping": f"{_gold('best_seq', True)} union all {_gold('unmapped_seq', False)}",
+    "incremental_matches": f"""
+        select * exclude (run_id, client_entity_id)
+        from ({_gold('best_file', True)} union all {_gold('unmapped_file', False)}) gold
+    """,
     "clean_names": f"""
         select lei, {_clean("legal_name")} as clean_name,
             {_clean("coalesce(legal_name, '')", strip_legal=False)} as unstripped_name
@@ -410,13 +544,7 @@ _FINAL = {
         select 'run_001', client_entity_id, submitted_name, null, null, null, null, null, null, 'NO_MATCH', null, null
         from clients where client_entity_id not in (select client_entity_id from matches)
     """,
-    "review_queue_lev": """
-        select 'run_001' as run_id, client_entity_id, submitted_name, candidate_rank,
-            reference_id as matched_reference_id, candidate_lei as matched_lei, candidate_name as matched_name,
-            candidate_source as matched_source, candidate_method, match_score, match_reason,
-            'PENDING' as review_status, cast(null as varchar) as reviewer, cast(null as varchar) as review_comment
-        from ranked where candidate_rank <= 5
-    """,
+    "review_queue_lev": _queue("ranked"),
     "hierarchy_enrich": "select * from hierarchy",
     "hierarchy_active_only": "select * from hierarchy_latest",
     "gold_name_keys": f"""
@@ -433,10 +561,10 @@ _FINAL = {
         select client_entity_id, submitted_name, direct_parent_lei, ultimate_parent_lei from unmapped
     """,
     "gold_mapping_lev": f"{_gold('best', True)} union all {_gold('unmapped', False)}",
-    "export_review_bundle": """
-        select client_entity_id, matched_reference_id, candidate_method, confidence_band from matches
-        order by client_entity_id limit 100000
-    """,
+    "export_review_bundle": " union all ".join([
+        _exported("gold_mapping", "gold_lev"), _exported("review_queue", "queue_lev"),
+        _exported("match_results", "matches"), _exported("entity_hierarchy", "hierarchy"),
+    ]),
 }
 
 
@@ -450,8 +578,12 @@ def _with_steps(final: str) -> str:
             if name not in needed and re.search(rf"\b(from|join)\s+{name}\b", sql):
                 needed.add(name)
                 pending.append(step)
-    ctes = [f"{name} as materialized ({_STEPS[name]})" for name in _STEPS if name in needed]
-    return f"with {', '.join(ctes)} {final}"
+    ctes = [
+        f"{name} as {'' if name.startswith(_RECURSIVE) else 'materialized '}({_STEPS[name]})"
+        for name in _STEPS if name in needed
+    ]
+    recursive = "recursive " if any(name.startswith(_RECURSIVE) for name in needed) else ""
+    return f"with {recursive}{', '.join(ctes)} {final}"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from namebridge.operators.ingest import ingest_clients, ingest_internal, rejecte
 from namebridge.operators.ranking import match_results, rank_candidates, review_queue
 from namebridge.operators.register import silver_entities, silver_relationships
 from namebridge.operators.scoring import score_candidates
+from namebridge.plans.oracles import exported_columns
 from namebridge.plans.stages import LEV, Stages, stages
 from namebridge.sources.csv_files import read_register_csv, read_upload_csv
 from namebridge.sources.export import export_bundle
@@ -124,7 +126,7 @@ def rejected_rows(st: Stages) -> DataFrame:
 
 
 def export_review_bundle(st: Stages) -> DataFrame:
-    """The review bundle written to files; the best matches read back."""
+    """The review bundle written to files, and all four tables read back."""
     ranked, hierarchy = st.ranked(LEV), st.hierarchy(LEV)
     spark = ranked.sparkSession
     tables = {
@@ -134,8 +136,12 @@ def export_review_bundle(st: Stages) -> DataFrame:
         "entity_hierarchy": hierarchy,
     }
     paths = export_bundle(tables, scratch_dir(spark, "export"), LEV)
-    back = spark.read.option("header", True).option("escape", '"').csv(paths["match_results"])
-    return back.select("client_entity_id", "matched_reference_id", "candidate_method", "confidence_band")
+    rows = []
+    for name, path in paths.items():
+        back = spark.read.option("header", True).option("escape", '"').csv(path)
+        texts = [F.coalesce(F.col(c), F.lit("-")) for c in exported_columns(name)]
+        rows.append(back.select(F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("row_text")))
+    return reduce(DataFrame.unionByName, rows)
 
 
 # --- names and keys -----------------------------------------------------------------------------
@@ -263,7 +269,7 @@ def incremental_matches(st: Stages) -> DataFrame:
         spark, incoming, output, reference=st.reference(), edges=st.edges(), entities=st.entities(),
         internal=st.internal(), config=SEQ,
     )
-    upload = st.views["fx_client_file"].filter(F.col("client_name").isNotNull())
+    upload = st.views["fx_client_file"]
     for country_given in (True, False):
         part = upload.filter(F.col("country").isNotNull() == country_given)
         part.write.mode("append").option("header", True).csv(incoming)

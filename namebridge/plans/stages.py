@@ -55,7 +55,7 @@ class Stages:
 
     def ranked(self, config: MatchConfig) -> DataFrame:
         return self._table(
-            f"ranked_{config.similarity}", lambda: best_candidates(self.clients(), self.reference(), config)
+            f"ranked_{abs(hash(config)):x}", lambda: best_candidates(self.clients(), self.reference(), config)
         )
 
     def matches(self, config: MatchConfig) -> DataFrame:
@@ -63,7 +63,7 @@ class Stages:
 
     def hierarchy(self, config: MatchConfig) -> DataFrame:
         return self._table(
-            f"hierarchy_{config.similarity}",
+            f"hierarchy_{abs(hash(config)):x}",
             lambda: enrich_hierarchy(self.matches(config), self.edges(), self.entities(), config),
         )
 

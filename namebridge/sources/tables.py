@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Only where the session names none, as in tests, a temporary folder of this machine is set.
+    Only in local mode, as in tests, a temporary folder of this machine may stand in for it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="namebridge-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

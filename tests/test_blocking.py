@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from namebridge.operators.blocking import block_join, spread_join
+from namebridge.operators.blocking import _cells_per_key, _spread, block_join, spread_join
 
 
 def names(seed, n):
@@ -71,3 +71,23 @@ def test_plan_has_no_nested_loop(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_hot_key_is_shared_out_at_the_join(spark):
+    """Nine tenths of the rows have one key; tasks are counted where the joins are made, without broadcasts."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        left = spark.range(20000).selectExpr("id as l", "if(id % 10 = 0, cast(id as string), 'hot') as k")
+        right = spark.range(100).selectExpr("id as r", "if(id < 50, 'hot', cast(id as string)) as k")
+        joined = spread_join(left, right, "k", ["l"], ["r"], 500).withColumn("task", F.spark_partition_id())
+        per_task = [r["count"] for r in joined.groupBy("task").count().collect()]
+        assert sum(per_task) == 18000 * 50 + 5 and max(per_task) < 5 * sum(per_task) / len(per_task) and len(per_task) >= 8
+        cells = _cells_per_key(left, right, "k", 500)
+        dealt = _spread(left, cells, "k", "left", "right", ["l"]).withColumn("task", F.spark_partition_id())
+        per_task = [r["count"] for r in dealt.groupBy("task").count().collect()]
+        assert max(per_task) < 5 * sum(per_task) / len(per_task)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -148,10 +148,11 @@ def test_scratch_lies_in_the_checkpoint_folder(spark):
     assert first.startswith(f"{root.rstrip('/')}/x-") and first != second
 
 
-def test_export_is_capped_in_key_order(spark, tmp_path):
+@pytest.mark.parametrize("rows", [None, 3])
+def test_export_writes_all_rows_unless_asked(spark, tmp_path, rows):
     table = spark.range(10).select(F.format_string("%02d", "id").alias("k"), F.lit('a "quoted", text').alias("v"))
     name = "a_table_name_longer_than_thirty_one_characters"
-    paths = export_bundle({name: table.repartition(5)}, str(tmp_path), MatchConfig(export_rows=3), {name: ["k"]})
-    assert paths[name].endswith("/" + name[:31])
+    paths = export_bundle({name: table.repartition(5)}, str(tmp_path), MatchConfig(export_rows=rows), {name: ["k"]})
+    assert paths[name].endswith("/" + name)
     back = spark.read.option("header", True).option("escape", '"').csv(paths[name]).orderBy("k").collect()
-    assert [tuple(r) for r in back] == [(f"0{i}", 'a "quoted", text') for i in range(3)]
+    assert [tuple(r) for r in back] == [(f"0{i}", 'a "quoted", text') for i in range(rows or 10)]

@@ -30,8 +30,10 @@ def random_pairs():
 
 def test_ratios_equal_difflib():
     pairs = random_pairs()
-    expected = [SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in pairs]
-    assert ratios([a for a, _ in pairs], [b for _, b in pairs]).tolist() == expected
+    left, right = [a for a, _ in pairs], [b for _, b in pairs]
+    for heuristic in (False, True):
+        expected = [SequenceMatcher(None, a, b, heuristic).ratio() if a and b else 0.0 for a, b in pairs]
+        assert ratios(left, right, heuristic).tolist() == expected
 
 
 def test_ratio_is_not_symmetric_and_client_comes_first(spark):

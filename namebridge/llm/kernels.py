@@ -81,11 +81,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         base = int(starts[at])
         upto = max(at + 1, int(np.searchsorted(ends, base + _PIECE, "right")))
         if int(ends[at]) - base > _PIECE:  # one span longer than a piece
-            h = U64(0)
+            h = np.zeros(1, U64)
             for p in range(base, int(ends[at]), _PIECE):
                 part = BYTE_CODES[data[p : min(p + _PIECE, int(ends[at]))]]
-                h = mix(np.array([(part * _POW[: len(part)]).sum(dtype=U64) + h], U64))[0]
-            out[at] = h
+                h = mix(h + (part * _POW[: len(part)]).sum(dtype=U64))
+            out[at] = h[0]
             upto = at + 1
         else:
             s, e = starts[at:upto] - base, ends[at:upto] - base

@@ -155,7 +155,7 @@ def detections(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     left, right = F.array_join("before", " "), F.array_join("after", " ")
     places = places.withColumns({"left": left, "right": right})
     base = places.select("uid", F.expr("""
-        case when anchor = 'cc' and after[0] = 'by' then 'cc-by'
+        case when anchor = 'cc' and get(after, 0) = 'by' then 'cc-by'
              when anchor = 'license' and left rlike '(^| )general public$' then 'gpl'
              when anchor = 'reserved' and left rlike '(^| )all rights$' then 'reserved' end""").alias("label"),
         F.when(F.col("anchor") == "cc", F.col("at")).otherwise(F.col("at") - 2).alias("start")).where("label is not null")

@@ -4,10 +4,11 @@ The Jaccard distance d = 1 - J is a metric, and two documents link when d <= r.
 
 1. Each text becomes the set of its distinct word 5-grams, as 64-bit hashes. Equal sets are one class.
 2. Documents that can link are brought together without loss: of two linked sets, the first quarter of
-   either, in one fixed order, holds a common member. The order is by hash, with shingles that occur in
-   many documents last. Which shingles count as frequent changes cost only, never the result.
-   Each shared member has a pivot, the smallest class that holds it; a region is all classes of a pivot.
-   Tasks combine before the shuffle: each sends one entry per shingle, however many documents hold it.
+   either, in one fixed order, holds a common member, and a quarter of all members is shared and lies in the
+   first half of both; documents that share less have no link. The order is by hash, with shingles that
+   occur in many documents last. Which shingles count as frequent changes cost only, never the result.
+   Each shared member has a pivot, the first document that holds it; a region is all documents of a pivot.
+   A document leaves the regions where it has so few members that no link can depend on them. Tasks combine before the shuffle: each sends one entry per shingle, however many documents hold it.
 3. Regions join exactly. Members that share too little with the rest of the region go first. Then pivots
    create Voronoi regions; a document is copied into each region j with d(o, p_j) <= d(o, nearest) + 2r
    (by the triangle inequality no link is lost); regions join recursively. A region that is too large
@@ -141,44 +142,62 @@ def _profiles(rows: DataFrame, config: JoinConfig) -> DataFrame:
     return rows.mapInArrow(run, "kind int, doc_id long, handle long, n long, k1 long, k2 long")
 
 
+def least_shared(n: int, percent: int = 75) -> int:
+    """Linked sets share so many members that lie in the first half of either.
+
+    Sets of n and m <= n members that link share at least percent * n / 100, of which at most n / 2 lie
+    outside the first half of the larger, and no more outside that of the smaller.
+    """
+    return max(1, -(-n * (percent - 50) // 100))
+
+
+_DEALT = "kind int, bucket long, flush long, x binary, y binary, z binary"
+_DEALT_NAMES = ["kind", "bucket", "flush", "x", "y", "z"]
+#: Flag beside a document's number within its flush: its task has counted the entry as shared.
+_KNOWN = 1
+
+
 def _prefixes(rows: DataFrame, frequent, buckets: int, config: JoinConfig) -> DataFrame:
-    """kind 0: prefix entries by bucket, one per shingle and flush, with the flush's pivot; kind 1: members."""
-    shift = U64(64 - (buckets - 1).bit_length()) if buckets > 1 else None
-    schema = "kind int, bucket int, flush long, shingles binary, pivots binary, k1 long, pivot long"
-    names = ["kind", "bucket", "flush", "shingles", "pivots", "k1", "pivot"]
-
-    def emit(flush: int, values: list[np.ndarray], keys: list[int], seen: set) -> Iterator[pa.RecordBatch]:
-        v = np.concatenate(values)
-        k = np.repeat(np.array(keys, np.int64), [len(x) for x in values])
-        order = np.lexsort((k, v))
-        v, k = v[order], k[order]
-        first = np.concatenate([[True], v[1:] != v[:-1]])
-        at = np.flatnonzero(first)
-        pivot = np.repeat(k[at], np.diff(np.append(at, len(v))))
-        other = k != pivot
-        pairs = np.unique(np.stack([k[other], pivot[other]], 1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-        v, k = v[at], k[at]
-        where = (v >> shift).astype(np.int64) if shift is not None else np.zeros(len(v), np.int64)
+    """Per flush: entries by bucket (kind 0), links to the flush's pivots (1), and documents (2).
+
+    A document is named by its flush and its number there. Entries cover the first half of each set in the
+    order. A flush sends one entry per shingle.
+    """
+    bits = (buckets - 1).bit_length()
+
+    def emit(flush: int, parts: list[np.ndarray], facts: list[tuple]) -> pa.RecordBatch:
+        v = np.concatenate(parts)
+        size = np.array([len(x) for x in parts])
+        doc = np.repeat(np.arange(len(parts), dtype=np.uint32), size)
+        order = np.lexsort((doc, v))
+        v, doc = v[order], doc[order]
+        at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+        count = np.diff(np.append(at, len(v)))
+        shared = np.repeat(count > 1, count)
+        known = np.bincount(doc[shared], minlength=len(parts)).astype(np.uint32)
+        lead = np.repeat(doc[at], count)
+        pairs, times = _counted(doc[shared], lead[shared])
+        v = v[at]
+        ref = (doc[at] << 1) | (count > 1).astype(np.uint32)
+        where = (v >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(v), np.int64)
         edge = np.searchsorted(where, np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(edge))
-        count = len(used)
-        none = pa.nulls(count, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(count, np.int32)), pa.array(used.astype(np.int32)),
-             pa.array(np.full(count, flush, np.int64)),
-             pa.array([v[edge[b] : edge[b + 1]].tobytes() for b in used], pa.binary()),
-             pa.array([k[edge[b] : edge[b + 1]].tobytes() for b in used], pa.binary()), none, none], names=names)
-        count = len(pairs)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(count, np.int32)), pa.nulls(count, pa.int32()),
-             pa.array(np.full(count, flush, np.int64)), pa.nulls(count, pa.binary()), pa.nulls(count, pa.binary()),
-             pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=names)
+        # 40 bits behind the bucket's: taking two shingles for one adds a candidate and nothing else
+        short = ((v << U64(bits)) >> U64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        facts_ = [np.array([f[k] for f in facts], t) for k, t in ((0, np.int64), (1, np.uint32))]
+        rows_ = [(0, int(b), flush, short[edge[b] : edge[b + 1]].tobytes(), ref[edge[b] : edge[b + 1]].tobytes(), None)
+                 for b in used]
+        rows_.append((1, -1 - flush % buckets, flush, pairs[0].tobytes(), pairs[1].tobytes(), times.tobytes()))
+        rows_.append((2, -1 - flush % buckets, flush, facts_[0].tobytes(), facts_[1].tobytes(), known.tobytes()))
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows_, strict=True), kinds, strict=True)], names=_DEALT_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = frequent.value
-        flush = TaskContext.get().partitionId() << 20
-        values: list[np.ndarray] = []
-        keys: list[int] = []
+        flush = TaskContext.get().partitionId() << 16
+        parts: list[np.ndarray] = []
+        facts: list[tuple] = []
         seen: set[int] = set()
         size = 0
         for batch in batches:
@@ -189,35 +208,136 @@ def _prefixes(rows: DataFrame, frequent, buckets: int, config: JoinConfig) -> Da
                     if not len(s) or key in seen:
                         continue
                     seen.add(key)
-                    m = prefix_length(len(s), config.percent)
+                    half = max(prefix_length(len(s), config.percent), -(-len(s) // 2))
                     if len(late):
                         place = np.minimum(np.searchsorted(late, s), len(late) - 1)
                         hot = late[place] == s
-                        s = s[~hot] if len(s) - hot.sum() >= m else np.concatenate([s[~hot], s[hot]])
-                    values.append(s[:m])
-                    keys.append(key)
-                    size += m
-                if size >= config.flush:
-                    yield from emit(flush, values, keys, seen)
-                    flush, values, keys, size, seen = flush + 1, [], [], 0, set()
+                        if hot.any():
+                            s = np.concatenate([s[~hot], s[hot]])
+                    parts.append(s[:half])
+                    facts.append((key, least_shared(len(s), config.percent)))
+                    size += half
+                if size >= config.flush or len(parts) >= 1 << 20:
+                    yield emit(flush, parts, facts)
+                    flush, parts, facts, size, seen = flush + 1, [], [], 0, set()
         if size:
-            yield from emit(flush, values, keys, seen)
+            yield emit(flush, parts, facts)
+
+    return rows.mapInArrow(run, _DEALT)
 
-    return rows.mapInArrow(run, schema)
 
+def _counted(a: np.ndarray, b: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Distinct pairs and how often each comes."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, int)
+    return (a[new], b[new]), np.diff(np.append(new, len(a))).astype(np.uint32)
 
-def _pivots(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """For one bucket: the pivot of each shingle that several flushes or documents hold."""
-    v = np.concatenate([np.frombuffer(x, U64) for x in rows["shingles"]])
-    k = np.concatenate([np.frombuffer(x, np.int64) for x in rows["pivots"]])
-    f = np.repeat(rows["flush"].to_numpy(), [len(x) // 8 for x in rows["shingles"]])
-    order = np.lexsort((k, v))
-    v, k, f = v[order], k[order], f[order]
+
+def _node(flush: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return (flush.astype(np.int64) << 21) | doc.astype(np.int64)
+
+
+def _meet(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """For one bucket: how many entries of each document others share (kind 3), and pivots (kind 4)."""
+    if rows["bucket"].iloc[0] < 0:
+        return rows
+    raw = np.frombuffer(b"".join(rows["x"]), np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :5] = raw
+    v = wide.view("<u8").ravel()
+    ref = np.frombuffer(b"".join(rows["y"]), np.uint32)
+    flush = np.repeat(rows["flush"].to_numpy(), [len(y) // 4 for y in rows["y"]])
+    node = _node(flush, ref >> 1)
+    order = np.lexsort((node, v))
+    v, node, ref = v[order], node[order], ref[order]
     at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
     count = np.diff(np.append(at, len(v)))
-    top = np.repeat(k[at], count)
-    keep = np.repeat(count > 1, count)
-    return pd.DataFrame({"flush": f[keep], "local": k[keep], "pivot": top[keep]}).drop_duplicates()
+    shared = np.repeat(count > 1, count)
+    new = shared & ((ref & _KNOWN) == 0)
+    nodes, times = np.unique(node[new], return_counts=True)
+    lead = np.repeat(node[at], count)
+    pairs, weights = _counted(node[shared], lead[shared])
+    out = []
+    for kind, of, *others in ((3, nodes, times.astype(np.uint32)), (4, pairs[0], pairs[1], weights)):
+        home = of >> 21
+        for part in np.split(np.arange(len(of)), np.flatnonzero(home[1:] != home[:-1]) + 1) if len(of) else []:
+            packed = [x[part].tobytes() for x in (of, *others)]
+            out.append((kind, 0, int(home[part[0]]), *packed, *[None] * (3 - len(packed))))
+    return pd.DataFrame(out, columns=_DEALT_NAMES)
+
+
+def _summed(doc: np.ndarray, region: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((region, doc))
+    doc, region, times = doc[order], region[order], times[order].astype(np.int64)
+    if not len(doc):
+        return doc, region, times
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (region[1:] != region[:-1])]))
+    return doc[new], region[new], np.add.reduceat(times, new)
+
+
+def _regions(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """For one flush: the documents that share enough of their first half to have a link, with their regions."""
+    facts = rows[rows["kind"] == 2]
+    flush = np.int64(facts["flush"].iloc[0])
+    k1, need, known = (np.frombuffer(facts[c].iloc[0], t) for c, t in (("x", np.int64), ("y", np.uint32), ("z", np.uint32)))
+    have = known.astype(np.int64)
+    low = (1 << 21) - 1
+    for x, y in rows.loc[rows["kind"] == 3, ["x", "y"]].itertuples(index=False):
+        have[np.frombuffer(x, np.int64) & low] += np.frombuffer(y, np.uint32)
+    passing = have >= need
+
+    def packed(kind: int, *types) -> list[np.ndarray]:
+        part = rows[rows["kind"] == kind]
+        return [np.frombuffer(b"".join(part[c]), t).astype(np.int64) for c, t in zip("xyz", types, strict=True)]
+
+    own, lead, times = packed(1, np.uint32, np.uint32, np.uint32)
+    keep = passing[own]
+    own, lead, times = own[keep], lead[keep], times[keep]
+    node, top, weight = packed(4, np.int64, np.int64, np.uint32)
+    node, top, weight = _summed(node & low, top, weight)
+    # A document's entries lie with a pivot directly, or by way of the pivot of its flush; then the number of
+    # its entries with the latter bounds that with the former.
+    other = own != lead
+    begin, end = np.searchsorted(node, lead[other]), np.searchsorted(node, lead[other], "right")
+    count = end - begin
+    at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    direct = passing[node]
+    doc, region, times = _summed(
+        np.concatenate([node[direct], np.repeat(own[other], count), own]),
+        np.concatenate([top[direct], top[at], _node(flush, lead)]),
+        np.concatenate([weight[direct], np.repeat(times[other], count), times]))
+    # Linked documents share at least ``need`` entries, so they still meet if each leaves the regions in
+    # which it has the fewest, as long as these hold less than half of that number.
+    order = np.lexsort((region, times, doc))
+    doc, region, times = doc[order], region[order], times[order]
+    total = np.cumsum(times)
+    first = np.searchsorted(doc, doc)
+    below = total - np.where(first > 0, total[np.maximum(first - 1, 0)], 0)
+    stay = 2 * below >= need[doc]
+    return pd.DataFrame({"k1": k1[doc[stay]], "region": region[stay]})
+
+
+def _members(rows: DataFrame, late, cells: int, config: JoinConfig) -> DataFrame:
+    """(k1, region): classes that may have links, in regions such that linked classes share one."""
+    buckets = 1
+    while buckets * 800_000 < cells / 2:
+        buckets *= 2
+    dealt = written(_prefixes(rows.select("text"), late, buckets, config).groupBy("bucket").applyInPandas(
+        _meet, _DEALT), "dealt")
+    members = dealt.groupBy("flush").applyInPandas(_regions, "k1 long, region long")
+    return written(members.distinct(), "members")
+
+
+def _with_partner(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """members without those whose region holds no other class of like size; linked sets differ by percent."""
+    step = -float(np.log(percent / 100))
+    sized = members.join(sizes, "k1").withColumn("band", F.floor(F.log("n") / step + 1e-9))
+    bands = sized.groupBy("region", "band").agg(F.count("*").alias("here"))
+    near = bands.select("region", "here", F.explode(F.array(
+        F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")) \
+        .groupBy("region", "band").agg(F.sum("here").alias("near")).where("near > 1")
+    return sized.join(near, ["region", "band"]).select("k1", "region", "n")
 
 
 class _Union:
@@ -422,7 +542,7 @@ def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]
     """Profiles (doc_id, n, k1, k2) of all documents, and (k1, k2, root1, root2) of classes that link."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("handle"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("handle"), "text")
     profiled = written(_profiles(rows, config), "profiles")
     profiles = profiled.where("kind = 0").drop("kind")
     total = profiles.agg(F.count("*").alias("docs"), F.sum("n").alias("cells")).first()
@@ -430,25 +550,14 @@ def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]
     frequent = profiled.where("kind = 1").groupBy("k1").agg(F.sum("n").alias("c")).where(F.col("c") >= least)
     late = np.sort(np.array([r.k1 for r in frequent.select("k1").collect()], np.int64).view(U64))
     late = spark.sparkContext.broadcast(late)
-    buckets = 1
-    while buckets * 400_000 < (total.cells or 0) / 4:
-        buckets *= 2
-    prefixes = written(_prefixes(rows.select("text"), late, buckets, config), "prefixes")
-    tops = written(prefixes.where("kind = 0").groupBy("bucket").applyInPandas(
-        _pivots, "flush long, local long, pivot long").distinct(), "pivots")
-    local = prefixes.where("kind = 1").select("k1", "flush", F.col("pivot").alias("local"))
-    within = local.select("k1", F.col("local").alias("region")).unionByName(
-        local.select(F.col("local").alias("k1"), F.col("local").alias("region")))
-    members = local.join(tops, ["flush", "local"]).select("k1", F.col("pivot").alias("region")).unionByName(
-        tops.select(F.col("local").alias("k1"), F.col("pivot").alias("region"))).unionByName(within).distinct()
-    members = written(members, "members")
-    classes = profiles.where("n > 0").groupBy("k1", "k2").agg(
-        F.min("handle").alias("handle"), F.first("n").alias("n"))
+    members = _members(rows, late, total.cells or 0, config)
+    sizes = profiles.where("n > 0").groupBy("k1").agg(F.max("n").alias("n"))
+    members = written(_with_partner(members, sizes, config.percent), "crowded")
+    classes = profiles.where("n > 0").groupBy("k1", "k2").agg(F.min("handle").alias("handle"))
     wanted = members.select("k1").distinct().join(classes, "k1").select("handle")
-    sets = written(_with_sets(rows.join(wanted, "handle", "left_semi").select("text"), config)
-                   .dropDuplicates(["k1", "k2"]), "sets")
-    placed = members.join(sets, "k1").select("region", "k1", "k2", "n", "shingles")
-    sizes = written(members.join(sets.select("k1", "n"), "k1").groupBy("region").agg(
+    sets = written(_with_sets(rows.join(wanted, "handle", "left_semi").select("text"), config), "sets")
+    placed = members.drop("n").join(sets, "k1").select("region", "k1", "k2", "n", "shingles")
+    sizes = written(members.groupBy("region").agg(
         F.sum("n").alias("cells"), F.count("*").alias("members")).where("members > 1"), "sizes")
     normal = sizes.where(F.col("cells") <= config.region_cells)
     large = sizes.where(F.col("cells") > config.region_cells)
@@ -471,13 +580,19 @@ def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]
 
 def _with_sets(rows: DataFrame, config: JoinConfig) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # repeated rows meet in a task
         for batch in batches:
             for _, data, offsets in K.text_chunks(batch.column("text")):
                 sets = _sets(data, offsets, config.width)
                 n, a, b = _keys(sets)
+                new = []
+                for i, key in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+                    if key not in seen:
+                        seen.add(key)
+                        new.append(i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(n), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["k1", "k2", "n", "shingles"])
+                    [pa.array(a[new]), pa.array(b[new]), pa.array(n[new]),
+                     pa.array([sets[i].tobytes() for i in new], pa.binary())], names=["k1", "k2", "n", "shingles"])
 
     return rows.mapInArrow(run, "k1 long, k2 long, n long, shingles binary")
 
@@ -511,12 +626,12 @@ def keep_one(docs: DataFrame, config: JoinConfig | None = None) -> DataFrame:
     groups = _grouped(profiles, roots)
     kept = groups.where("k1 = rep1 and k2 = rep2").select("k1", "k2", F.col("component_id").alias("_keep"))
     light = profiles.join(kept, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("_keep")))
-    first = light.groupBy("k1", "k2").agg(F.min("handle").alias("_handle")).select("_handle")
-    chosen = first.unionByName(profiles.where("n = 0").select(F.col("handle").alias("_handle"))).distinct()
-    rows = docs.withColumn("_handle", F.xxhash64("doc_id", "text")).join(chosen, "_handle", "left_semi")
+    first = light.groupBy("k1", "k2").agg(F.min("handle").alias("_llm_handle")).select("_llm_handle")
+    chosen = first.unionByName(profiles.where("n = 0").select(F.col("handle").alias("_llm_handle"))).distinct()
+    rows = docs.withColumn("_llm_handle", F.xxhash64("doc_id", "text")).join(chosen, "_llm_handle", "left_semi")
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    single = rows.where(words).dropDuplicates(["_handle"])
-    return single.unionByName(rows.where(~F.coalesce(words, F.lit(False)))).drop("_handle")
+    single = rows.where(words).dropDuplicates(["_llm_handle"])
+    return single.unionByName(rows.where(~F.coalesce(words, F.lit(False)))).drop("_llm_handle")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -636,3 +636,21 @@ def keep_one(docs: DataFrame, config: JoinConfig | None = None) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(documents(spark, sf_dir))
+
+
+#: The same rows in DuckDB: all pairs that share a shingle, counted.
+SQL = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i:i + 4], ' ') end as x
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.x = b.x and a.doc_id < b.doc_id
+      group by all),
+l as (select x, y from c join n a on c.x = a.doc_id join n b on c.y = b.doc_id where 100 * k >= 75 * (a.n + b.n - k)),
+e as (select x, y from l union all select y, x from l),
+r as (select doc_id, doc_id as least from d union select e.y, r.least from r join e on r.doc_id = e.x where r.least < e.y)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(r.least) as component_id
+from d join r using (doc_id) left join n using (doc_id) group by d.doc_id, n.n
+"""

@@ -36,4 +36,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_suffix_dedup": suffix_dedup.SQL, "op9_line_frequency": quality_rules.SQL}
+    return {
+        "op7_suffix_dedup": suffix_dedup.SQL,
+        "op9_line_frequency": quality_rules.SQL,
+        "op10_jaccard_join": jaccard_join.SQL,
+    }

@@ -10,6 +10,7 @@ def _strings(*names: str) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
+# Columns of the inputs.
 CLIENT_UPLOAD = _strings("client_name", "country", "registration_number", "lei", "address")
 CLIENT_RAW = _strings(
     "client_entity_id", "submitted_name", "country", "registration_number", "lei", "address"

@@ -12,6 +12,7 @@ from namebridge.operators.blocking import spread_join
 # Relationship types of the register.
 ROLES = {"direct": "IS_DIRECTLY_CONSOLIDATED_BY", "ultimate": "IS_ULTIMATELY_CONSOLIDATED_BY"}
 
+# Columns of the result.
 HIERARCHY_COLUMNS = [
     "run_id", "client_entity_id", "submitted_name", "matched_lei", "matched_name", "matched_source",
     "candidate_method",

@@ -40,6 +40,7 @@ def _result_columns(run_id: str) -> dict:
     }
 
 
+# Columns of both results.
 MATCH_RESULT_COLUMNS = [
     "run_id", "client_entity_id", "submitted_name", "matched_reference_id", "matched_lei", "matched_name",
     "matched_source", "candidate_method", "match_score", "confidence_band", "match_reason", "country_match",

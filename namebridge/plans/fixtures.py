@@ -1,6 +1,6 @@
 """Entity tables derived from the given tables, for queries, benches and tests.
 
-Whole tables and whole texts go in: every sentence of every document is a register entity, every
+Every row of the tables goes in, of pages the title: every sentence of every document is a register entity, every
 page title a client, every page title and every benchmark sentence an internal entity. A document
 is a company group: its first sentence is the ultimate parent of all others.
 

@@ -33,7 +33,7 @@ def require_any(df: DataFrame, names: Iterable[str], what: str) -> None:
     """Raise unless at least one of the columns is present."""
     wanted = list(names)
     if not set(wanted) & set(df.columns):
-        raise ValueError(f"{what} must contain {' or '.join(wanted)}. Found columns: {df.columns}")
+        raise ValueError(f"{what}: no column {' or '.join(wanted)} among {', '.join(df.columns)}")
 
 
 def fill_missing(df: DataFrame, names: Iterable[str]) -> DataFrame:

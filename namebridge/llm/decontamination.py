@@ -1,11 +1,12 @@
 """Operator 8: benchmark decontamination by template, in DataFrame operations only.
 
 Numbers, names and units become typed placeholders, so that a question with other parameters has the same
-template. Windows of the template's words are hashed and hash-joined with the windows of the benchmark items. Of a
-document and an item that meet, every alignment is checked: a slot value of the item must stand for one value of
-the document throughout, and the reverse. A document is contaminated by an item if consistent
-alignments hold at least ``coverage`` of the item's windows; ``exact`` tells an unchanged copy from a
-re-parameterised one.
+template. A capitalised word that may just start a sentence is hashed in both ways, as a word and as a name.
+Windows of the template's words are hashed and hash-joined with the windows of the benchmark items. Of a document and
+an item that meet, every alignment is cut into runs of windows that touch. Within a run a slot value of the item stands
+for one value of the document, the most frequent one; windows with other values do not count. A document is
+contaminated by an item if what is left holds at least ``coverage`` of the item's windows; ``exact`` tells an
+unchanged copy from a re-parameterised one.
 
 A null text has no words. Items shorter than a window, and windows with fewer than ``literals`` words that are
 not placeholders, are not searched for. Repeated items each count; repeated rows of a document (id and text) are
@@ -38,10 +39,12 @@ UNITS = ("km", "m", "cm", "mm", "mi", "miles?", "feet", "ft", "inch(?:es)?", "kg
          "ounces?", "l", "ml", "lit(?:er|re)s?", "met(?:er|re)s?", "grams?", "s", "sec(?:ond)?s?", "min(?:ute)?s?",
          "h", "hours?", "days?", "weeks?", "months?", "years?", "%", "percent", "dollars?", "euros?", "cents?",
          "degrees?", "mph", "kmh", "watts?", "volts?")
-_NUMBER = r"(?<![\p{L}\p{N}])[0-9][0-9.,]*(?:(?<=[0-9.,])|$)"
-_UNIT = r"(?i)(?<=\x02)(\s?)(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])"
+_NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,]+[0-9]+)*"
+_UNIT = r"(?i)(?<=\x01d\x02|[0-9]\x02)(\s?)(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])"
 #: A capital after something other than the end of a sentence.
 _NAME = r"(?<=[^.!?:\s]\s)\p{Lu}\p{Ll}[\p{L}]*"
+#: Any other capital: a name or the first word of a sentence.
+_START = r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}[\p{L}]*"
 _TOKEN = r"\x01[^\x02]*\x02|[\p{L}\p{N}]+"
 
 
@@ -50,10 +53,11 @@ def _lit(pattern: str) -> str:
 
 
 def tokens(text: Column, values: bool) -> Column:
-    """The words of a text, placeholders as \\x01 kind [value] \\x02."""
+    """The words of a text, placeholders as \\x01 kind [value] \\x02. Kind s, always with its value, is a word or a name."""
     keep = "$0" if values else ""
     t = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "  ") if values else F.coalesce(text, F.lit(""))
     t = F.regexp_replace(t, _NAME, f"\x01n{keep}\x02")
+    t = F.regexp_replace(t, _START, "\x01s$0\x02")
     t = F.regexp_replace(t, _NUMBER, f" \x01d{keep}\x02")
     t = F.regexp_replace(t, _UNIT, f"$1\x01u{'$2' if values else ''}\x02")
     return F.regexp_extract_all(F.lower(t), F.lit(_TOKEN), F.lit(0))
@@ -61,19 +65,42 @@ def tokens(text: Column, values: bool) -> Column:
 
 def plain(words: str) -> str:
     """SQL for tokens without their values."""
-    return f"transform({words}, x -> if(startswith(x, '\x01'), concat(substring(x, 1, 2), '\x02'), x))"
+    return f"transform({words}, x -> if(startswith(x, '\x01') and not startswith(x, '\x01s'), concat(substring(x, 1, 2), '\x02'), x))"
+
+
+def value(word: str) -> str:
+    """SQL for the text that a token stands for."""
+    return f"if(startswith({word}, '\x01'), substring({word}, 3, length({word}) - 3), {word})"
 
 
 def windows(words: str, config: TemplateConfig) -> Column:
-    """Hashes of the windows of an array of template words, null for those with too few literals."""
+    """Hashes of the windows of an array of template words, null for those with too few literals.
+
+    First those with all words of kind s as words, then as many with all of them as names, null where there are none.
+    """
     n = config.window
-    few = f"size(filter(w, x -> not startswith(x, '\x01'))) < {config.literals}"
+
+    def hashed(some: str) -> str:
+        few = f"size(filter(w, x -> not startswith(x, '\x01'))) < {config.literals}"
+        return f"""transform(sequence(1, size({words}) - {n - 1}), i -> transform(array(slice({words}, i, {n})), w ->
+            {some.format(few=few)})[0])"""
+
+    as_word = f"transform(w, x -> if(startswith(x, '\x01s'), {value('x')}, x))"
+    as_name = "transform(w, x -> if(startswith(x, '\x01s'), '\x01n\x02', x))"
+    either = "exists(w, x -> startswith(x, '\x01s'))"
+    few_words = f"size(filter(w, x -> not startswith(x, '\x01') or startswith(x, '\x01s'))) < {config.literals}"
     return F.expr(f"""
         case when size({words}) < {n} then cast(array() as array<bigint>)
-        when exists({words}, x -> startswith(x, '\x01')) then
-          transform(sequence(1, size({words}) - {n - 1}), i -> transform(array(slice({words}, i, {n})), w ->
-            if({few}, cast(null as bigint), xxhash64(w)))[0])
-        else transform(sequence(1, size({words}) - {n - 1}), i -> xxhash64(slice({words}, i, {n}))) end""")
+        when exists({words}, x -> startswith(x, '\x01')) then concat(
+          {hashed(f"if({few_words}, cast(null as bigint), xxhash64(if({either}, {as_word}, w)))")},
+          {hashed(f"if(not {either} or {{few}}, cast(null as bigint), xxhash64({as_name}))")})
+        else concat(transform(sequence(1, size({words}) - {n - 1}), i -> xxhash64(slice({words}, i, {n}))),
+          array_repeat(cast(null as bigint), size({words}) - {n - 1})) end""")
+
+
+def _place(at: str, words: str, config: TemplateConfig) -> Column:
+    """The place of a window in its text from its place among ``windows``."""
+    return F.expr(f"cast({at} % ({words} - {config.window - 1}) as int)")
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -85,8 +112,8 @@ def _items(benchmark: DataFrame, config: TemplateConfig) -> DataFrame:
     """uid, item_id, words with values, template windows and their number."""
     t = benchmark.select(F.monotonically_increasing_id().alias("item"), "item_id", tokens(F.col("text"), True).alias("iv"))
     t = t.withColumn("it", F.expr(plain("iv")))
-    t = t.withColumn("iw", windows("it", config)).withColumn(
-        "total", F.size(F.expr("array_distinct(filter(iw, x -> x is not null))"))).where("total > 0")
+    t = t.withColumn("iw", windows("it", config)).withColumn("total", F.size(F.expr(
+        "array_distinct(filter(slice(iw, 1, cast(size(iw) / 2 as int)), x -> x is not null))"))).where("total > 0")
     return written(t.drop("it"), "items")
 
 
@@ -99,38 +126,54 @@ def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None
     """h, size (which name a text and its id), doc_id, item_id, n_windows, total_windows, exact of all leaks."""
     config = config or TemplateConfig()
     items = _items(benchmark, config)
-    places = items.select("item", F.posexplode("iw").alias("q", "w")).where("w is not null")
+    # q: place of a window; c: its first hash, which names equal windows.
+    places = items.select("item", "iw", F.size("iv").alias("size"), F.posexplode("iw").alias("at", "w")).where("w is not null") \
+        .withColumn("q", _place("at", "size", config)).select("item", "q", F.expr("iw[q]").alias("c"), "w")
     keys = _sized(places.select("w").distinct(), config.broadcast_rows)
     rows = _keyed(docs)
     words = rows.select("doc_id", "h", "size", tokens(F.replace(F.replace(
         F.col("text"), F.lit("\x01"), F.lit(" ")), F.lit("\x02"), F.lit(" ")), False).alias("words"))
-    found = words.select("doc_id", "h", "size", F.posexplode(windows("words", config)).alias("p", "w")) \
-        .where("w is not null").join(keys, "w")
-    found = written(found.distinct(), "windows")
+    found = words.select("doc_id", "h", "size", F.size("words").alias("n"), F.posexplode(windows("words", config)).alias("at", "w")) \
+        .where("w is not null").join(keys, "w").withColumn("p", _place("at", "n", config))
+    found = written(found.select("doc_id", "h", "size", "p", "w").distinct(), "windows")
     pairs = found.join(_sized(places, config.broadcast_rows), "w")
     totals = items.select("item", "item_id", "total", "iv")
     light = _sized(totals.select("item", "total"), config.broadcast_rows)
     # Only pairs with enough windows go on to their texts.
-    enough = pairs.groupBy("h", "size", "item").agg(F.countDistinct("w").alias("n")).join(light, "item") \
+    enough = pairs.groupBy("h", "size", "item").agg(F.countDistinct("c").alias("n")).join(light, "item") \
         .where(F.col("n") >= config.coverage * F.col("total")).select("h", "size", "item")
     enough = written(enough, "pairs")
     wanted = _sized(enough.select("h", "size").distinct(), config.broadcast_rows)
     values = rows.join(wanted, ["h", "size"]).select(
         "h", "size", tokens(F.col("text"), True).alias("dv")).dropDuplicates(["h", "size"])
     placed = pairs.join(enough, ["h", "size", "item"]).select(
-        "h", "size", "item", "w", "q", (F.col("p") - F.col("q")).alias("shift")).distinct()
-    aligned = placed.groupBy("h", "size", "item", "shift").agg(F.collect_set("q").alias("qs"), F.collect_set("w").alias("ws"))
+        "h", "size", "item", F.struct("q", "c").alias("window"), (F.col("p") - F.col("q")).alias("shift")).distinct()
+    aligned = placed.groupBy("h", "size", "item", "shift").agg(F.array_sort(F.collect_set("window")).alias("windows"))
     n = config.window
-    slots = aligned.join(values, ["h", "size"]).join(totals, "item").select(
-        "h", "size", "item", "item_id", "total", "ws", F.expr(f"""
-            array_distinct(flatten(transform(qs, q -> filter(transform(sequence(0, {n - 1}), k ->
-              struct(iv[q + k] as i, dv[q + k + shift] as d)), s -> startswith(s.i, '\x01')))))""").alias("slots"))
-    slots = slots.withColumns({
-        "steady": F.expr("""size(array_distinct(transform(slots, s -> s.i))) = size(slots)
-                            and size(array_distinct(transform(slots, s -> s.d))) = size(slots)"""),
-        "same": F.expr("forall(slots, s -> s.i = s.d)")})
-    leaks = slots.where("steady").groupBy("h", "size", "item", "item_id", "total").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("n_windows"), F.min("same").alias("exact")) \
+    # A run ends where the next window does not touch it. Its pairs of values, with the place in the item.
+    runs = aligned.select("h", "size", "item", "shift", "windows", F.expr(f"""
+            filter(sequence(0, size(windows) - 1), k -> k = 0 or windows[k].q - windows[k - 1].q > {n})""").alias("heads")) \
+        .select("h", "size", "item", "shift", F.explode(F.expr("""
+            transform(heads, (a, k) -> slice(windows, a + 1, coalesce(get(heads, k + 1), size(windows)) - a))""")).alias("run"))
+    slots = runs.join(values, ["h", "size"]).join(totals, "item").select(
+        "h", "size", "item", "item_id", "total", "run", F.expr(f"""
+            transform(filter(array_distinct(flatten(transform(run, w -> sequence(w.q, w.q + {n - 1})))),
+              k -> startswith(iv[k], '\x01')), k -> struct(k as k, {value("iv[k]")} as i, {value("dv[k + shift]")} as d))
+            """).alias("slots"))
+    # For each value of the item its most frequent value in the document, of equally frequent ones the first.
+    main = """map_from_entries(transform(array_distinct(transform(slots, s -> s.i)), i ->
+        transform(array(filter(slots, s -> s.i = i)), own -> struct(i, array_max(transform(own, y ->
+          struct(size(filter(own, z -> z.d = y.d)) as n, -y.k as first, y.d as d))).d as d))[0]))"""
+    slots = slots.withColumn("odd", F.expr(f"""
+        case when size(array_distinct(transform(slots, s -> struct(s.i, s.d)))) = size(array_distinct(transform(slots, s -> s.i)))
+          then filter(slots, s -> false)
+        else transform(array({main}), m -> filter(slots, s -> s.d != m[s.i]))[0] end"""))
+    slots = slots.withColumn("run", F.expr(f"""
+        filter(run, w -> not exists(odd, s -> s.k between w.q and w.q + {n - 1}))"""))
+    slots = slots.withColumn("same", F.expr(f"""
+        forall(slots, s -> s.i = s.d or not exists(run, w -> s.k between w.q and w.q + {n - 1}))"""))
+    leaks = slots.where("size(run) > 0").groupBy("h", "size", "item", "item_id", "total").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("run.c")))).alias("n_windows"), F.min("same").alias("exact")) \
         .where(F.col("n_windows") >= config.coverage * F.col("total"))
     ids = found.select("h", "size", "doc_id").distinct()
     return leaks.join(ids, ["h", "size"]).select(

@@ -26,6 +26,30 @@ def test_decontamination(spark):
     assert decontamination.clean(docs, items.limit(0)).count() == docs.count()
 
 
+def test_renamed_questions_whose_names_start_sentences(spark):
+    item = ("Tom has 3 red apples in a big bag. Anna gives him 5 more apples after lunch. Tom eats 2 of them on the way. "
+            "How many are left?")
+    renamed = item.replace("Tom", "Maria").replace("Anna", "Felix").replace("3", "8").replace("5", "8").replace("2", "4")
+    quoted = '"' + renamed.replace(". ", '.  "')
+    lower = item.replace("How many", "so how many")
+    mixed = renamed.replace("Maria eats 4", "Paul eats 4")
+    docs = spark.createDataFrame([(1, item), (2, f"It rains. {renamed} Yes."), (3, quoted), (4, lower), (5, mixed)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.matches(docs, items).collect()}
+    assert {k: r.exact for k, r in got.items()} == {1: True, 2: False, 3: False, 4: True, 5: False}
+    assert got[5].n_windows < got[5].total_windows  # without those that name Maria otherwise
+    assert got[2].n_windows == got[3].n_windows == got[1].n_windows == got[1].total_windows
+
+
+def test_number_before_a_full_stop_is_the_same_value(spark):
+    item = "the farmer filled 12 boxes with plums and then sold 12. after that 7 boxes with plums came back to the farmer"
+    docs = spark.createDataFrame([(1, item.replace("12", "30"))], "doc_id long, text string")
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got, = decontamination.matches(docs, items).collect()
+    assert got.n_windows == got.total_windows and not got.exact
+
+
 def quality(text):
     text = text or ""
     words = WORDS.findall(text)

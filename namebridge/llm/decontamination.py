@@ -5,8 +5,9 @@ template. A capitalised word that may just start a sentence is hashed in both wa
 Windows of the template's words are hashed and hash-joined with the windows of the benchmark items. Of a document and
 an item that meet, every alignment is cut into runs of windows that touch. Within a run a slot value of the item stands
 for one value of the document, the most frequent one; windows with other values do not count. A document is
-contaminated by an item if what is left holds at least ``coverage`` of the item's windows; ``exact`` tells an
-unchanged copy from a re-parameterised one.
+contaminated by an item if what is left holds at least ``coverage`` of the item's windows, or so many words in a row
+that the item's length does not matter: ``same_words`` unchanged ones or ``run_words`` of the template. ``exact``
+tells an unchanged copy from a re-parameterised one.
 
 A null text has no words. Items shorter than a window, and windows with fewer than ``literals`` words that are
 not placeholders, are not searched for. Repeated items each count; repeated rows of a document (id and text) are
@@ -30,6 +31,9 @@ class TemplateConfig:
     literals: int = 4
     #: Share of an item's windows that a document must hold.
     coverage: float = 0.5
+    #: Or words in a row, whatever the item's length: unchanged ones, and those of the template.
+    same_words: int = 13
+    run_words: int = 20
     #: Rows of 8 to 40 bytes up to which a side is broadcast; beyond it the join is a shuffle.
     broadcast_rows: int = 200_000
 
@@ -103,6 +107,14 @@ def _place(at: str, words: str, config: TemplateConfig) -> Column:
     return F.expr(f"cast({at} % ({words} - {config.window - 1}) as int)")
 
 
+def _longest(run: str, config: TemplateConfig) -> str:
+    """SQL for the longest stretch of words that windows, in order, cover without a gap."""
+    n = config.window
+    return f"""aggregate({run}, struct(-1 as head, -1 as last, 0 as most), (a, w) ->
+        transform(array(if(a.head < 0 or w.q - a.last > {n}, w.q, a.head)), head ->
+          struct(head as head, w.q as last, greatest(a.most, w.q - head + {n}) as most))[0], a -> a.most)"""
+
+
 def _sized(df: DataFrame, rows: int) -> DataFrame:
     """df to be broadcast if it has few rows, as counted; as it is otherwise."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -139,10 +151,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None
     pairs = found.join(_sized(places, config.broadcast_rows), "w")
     totals = items.select("item", "item_id", "total", "iv")
     light = _sized(totals.select("item", "total"), config.broadcast_rows)
-    # Only pairs with enough windows go on to their texts.
-    enough = pairs.groupBy("h", "size", "item").agg(F.countDistinct("c").alias("n")).join(light, "item") \
+    # Only pairs with enough windows, or with a long enough stretch, go on to their texts.
+    covered = pairs.groupBy("h", "size", "item").agg(F.countDistinct("c").alias("n")).join(light, "item") \
         .where(F.col("n") >= config.coverage * F.col("total")).select("h", "size", "item")
-    enough = written(enough, "pairs")
+    least = min(config.same_words, config.run_words)
+    long = pairs.groupBy("h", "size", "item", (F.col("p") - F.col("q")).alias("shift")).agg(
+        (F.max("q") - F.min("q") + config.window).alias("n")).where(F.col("n") >= least).select("h", "size", "item")
+    enough = written(covered.union(long).distinct(), "pairs")
     wanted = _sized(enough.select("h", "size").distinct(), config.broadcast_rows)
     values = rows.join(wanted, ["h", "size"]).select(
         "h", "size", tokens(F.col("text"), True).alias("dv")).dropDuplicates(["h", "size"])
@@ -172,9 +187,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None
         filter(run, w -> not exists(odd, s -> s.k between w.q and w.q + {n - 1}))"""))
     slots = slots.withColumn("same", F.expr(f"""
         forall(slots, s -> s.i = s.d or not exists(run, w -> s.k between w.q and w.q + {n - 1}))"""))
-    leaks = slots.where("size(run) > 0").groupBy("h", "size", "item", "item_id", "total").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("run.c")))).alias("n_windows"), F.min("same").alias("exact")) \
-        .where(F.col("n_windows") >= config.coverage * F.col("total"))
+    # Stretches of words that the windows left in a run cover, and those of them without other values.
+    slots = slots.where("size(run) > 0").withColumns({
+        "template": F.expr(_longest("run", config)),
+        "unchanged": F.expr(_longest(f"""filter(run, w -> not exists(slots, s ->
+            s.k between w.q and w.q + {n - 1} and s.i != s.d))""", config))})
+    leaks = slots.groupBy("h", "size", "item", "item_id", "total").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("run.c")))).alias("n_windows"), F.min("same").alias("exact"),
+        F.max("template").alias("template"), F.max("unchanged").alias("unchanged")) \
+        .where((F.col("n_windows") >= config.coverage * F.col("total"))
+               | (F.col("template") >= config.run_words) | (F.col("unchanged") >= config.same_words))
     ids = found.select("h", "size", "doc_id").distinct()
     return leaks.join(ids, ["h", "size"]).select(
         "h", "size", "doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"),

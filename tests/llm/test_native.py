@@ -50,6 +50,21 @@ def test_number_before_a_full_stop_is_the_same_value(spark):
     assert got.n_windows == got.total_windows and not got.exact
 
 
+def test_a_passage_of_a_long_item_is_found(spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500)]
+    words[100:125] = ("and Tom paid 12 dollars for the red kite while Tom kept 5 more coins for bread and gave Anna "
+                      "all of the rest").split()
+    passage = " ".join(words[100:125])
+    other = passage.replace("Tom", "Paul").replace("12", "90").replace("Anna", "Ida")
+    texts = {1: words[200:213], 2: words[200:212], 3: passage.split(), 4: other.split(), 5: other.split()[:15]}
+    docs = spark.createDataFrame([(k, f"here is a part. {' '.join(t)} and on it goes") for k, t in texts.items()],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(9, " ".join(words))], "item_id long, text string")
+    got = decontamination.matches(docs, items).collect()
+    assert {r.doc_id: r.exact for r in got} == {1: True, 3: True, 4: False}
+    assert sorted(r.doc_id for r in decontamination.clean(docs, items).collect()) == [2, 5]
+
+
 def quality(text):
     text = text or ""
     words = WORDS.findall(text)

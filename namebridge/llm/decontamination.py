@@ -78,28 +78,28 @@ def value(word: str) -> str:
 
 
 def windows(words: str, config: TemplateConfig) -> Column:
-    """Hashes of the windows of an array of template words, null for those with too few literals.
+    """Hashes of the windows of an array of template words.
 
-    First those with all words of kind s as words, then as many with all of them as names, null where there are none.
+    First those with all words of kind s as words; then, where there are such words, as many with all of them as names.
     """
     n = config.window
+    each = f"transform(sequence(1, size({words}) - {n - 1}), i -> xxhash64(slice(a, i, {n})))"
+    as_word = f"transform({words}, x -> xxhash64(if(startswith(x, '\x01s'), {value('x')}, x)))"
+    as_name = f"transform({words}, x -> xxhash64(if(startswith(x, '\x01s'), '\x01n\x02', x)))"
+    return F.expr(f"""
+        case when size({words}) < {n} then cast(array() as array<bigint>)
+        when exists({words}, x -> startswith(x, '\x01s'))
+          then flatten(transform(array({as_word}, {as_name}), a -> {each}))
+        else transform(array({as_word}), a -> {each})[0] end""")
 
-    def hashed(some: str) -> str:
-        few = f"size(filter(w, x -> not startswith(x, '\x01'))) < {config.literals}"
-        return f"""transform(sequence(1, size({words}) - {n - 1}), i -> transform(array(slice({words}, i, {n})), w ->
-            {some.format(few=few)})[0])"""
 
-    as_word = f"transform(w, x -> if(startswith(x, '\x01s'), {value('x')}, x))"
-    as_name = "transform(w, x -> if(startswith(x, '\x01s'), '\x01n\x02', x))"
-    either = "exists(w, x -> startswith(x, '\x01s'))"
-    few_words = f"size(filter(w, x -> not startswith(x, '\x01') or startswith(x, '\x01s'))) < {config.literals}"
+def _literal(hashes: str, words: str, config: TemplateConfig) -> Column:
+    """``windows`` with null for those with too few literals. A text's windows need no such test to meet an item's."""
+    n = config.window
     return F.expr(f"""
-        case when size({words}) < {n} then cast(array() as array<bigint>)
-        when exists({words}, x -> startswith(x, '\x01')) then concat(
-          {hashed(f"if({few_words}, cast(null as bigint), xxhash64(if({either}, {as_word}, w)))")},
-          {hashed(f"if(not {either} or {{few}}, cast(null as bigint), xxhash64({as_name}))")})
-        else concat(transform(sequence(1, size({words}) - {n - 1}), i -> xxhash64(slice({words}, i, {n}))),
-          array_repeat(cast(null as bigint), size({words}) - {n - 1})) end""")
+        transform({hashes}, (h, k) -> if({config.literals} <= size(filter(
+          slice({words}, cast(k % (size({words}) - {n - 1}) as int) + 1, {n}),
+          x -> not startswith(x, '\x01') or (k <= size({words}) - {n} and startswith(x, '\x01s')))), h, null))""")
 
 
 def _place(at: str, words: str, config: TemplateConfig) -> Column:
@@ -124,8 +124,10 @@ def _items(benchmark: DataFrame, config: TemplateConfig) -> DataFrame:
     """uid, item_id, words with values, template windows and their number."""
     t = benchmark.select(F.monotonically_increasing_id().alias("item"), "item_id", tokens(F.col("text"), True).alias("iv"))
     t = t.withColumn("it", F.expr(plain("iv")))
-    t = t.withColumn("iw", windows("it", config)).withColumn("total", F.size(F.expr(
-        "array_distinct(filter(slice(iw, 1, cast(size(iw) / 2 as int)), x -> x is not null))"))).where("total > 0")
+    t = t.withColumn("iw", windows("it", config)).withColumn("iw", _literal("iw", "it", config))
+    t = t.withColumn("total", F.expr(
+        f"size(array_distinct(filter(slice(iw, 1, greatest(0, size(it) - {config.window - 1})), x -> x is not null)))"))
+    t = t.where("total > 0")
     return written(t.drop("it"), "items")
 
 
@@ -146,7 +148,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None
     words = rows.select("doc_id", "h", "size", tokens(F.replace(F.replace(
         F.col("text"), F.lit("\x01"), F.lit(" ")), F.lit("\x02"), F.lit(" ")), False).alias("words"))
     found = words.select("doc_id", "h", "size", F.size("words").alias("n"), F.posexplode(windows("words", config)).alias("at", "w")) \
-        .where("w is not null").join(keys, "w").withColumn("p", _place("at", "n", config))
+        .join(keys, "w").withColumn("p", _place("at", "n", config))
     found = written(found.select("doc_id", "h", "size", "p", "w").distinct(), "windows")
     pairs = found.join(_sized(places, config.broadcast_rows), "w")
     totals = items.select("item", "item_id", "total", "iv")

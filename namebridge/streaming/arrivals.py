@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from namebridge.config import MatchConfig
@@ -63,10 +63,12 @@ class ArrivalJob:
         store.write("gold", map_to_internal(hierarchy, self.internal, batch))
 
     def results(self) -> DataFrame:
-        """Gold rows of all batches so far."""
-        return self.spark.read.option("basePath", f"{self.output}/batches").parquet(
+        """Gold rows of all batches so far; a client that came again has those of its first batch."""
+        gold = self.spark.read.option("basePath", f"{self.output}/batches").parquet(
             f"{self.output}/batches/batch=*/gold"
-        ).drop("batch")
+        )
+        first = F.min(F.col("batch").cast("long")).over(Window.partitionBy("client_entity_id"))
+        return gold.withColumn("_first", first).filter(F.col("batch").cast("long") == F.col("_first")).drop("batch", "_first")
 
     def rejects(self) -> DataFrame:
         return self.spark.read.option("basePath", f"{self.output}/batches").parquet(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from namebridge.llm import (
     decontamination,
+    filter_audit,
     jaccard_join,
     language_id,
     license_scan,
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_template_decontamination": decontamination.query,
         "op9_line_frequency": quality_rules.query,
         "op10_jaccard_join": jaccard_join.query,
+        "op13_filter_audit": filter_audit.query,
     }
 
 
@@ -40,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_suffix_dedup": suffix_dedup.SQL,
         "op9_line_frequency": quality_rules.SQL,
         "op10_jaccard_join": jaccard_join.SQL,
+        "op13_filter_audit": filter_audit.SQL,
     }

@@ -13,9 +13,11 @@ from namebridge.llm import (
     language_id,
     license_scan,
     lm_scoring,
+    quality_ranker,
     quality_rules,
     sentencepiece_codec,
     sharding,
+    spelling_variants,
     suffix_dedup,
     toxicity,
 )
@@ -33,6 +35,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_template_decontamination": decontamination.query,
         "op9_line_frequency": quality_rules.query,
         "op10_jaccard_join": jaccard_join.query,
+        "op11_spelling_tiles": spelling_variants.query,
+        "op12_pairwise_ranking": quality_ranker.query,
         "op13_filter_audit": filter_audit.query,
     }
 

@@ -46,6 +46,13 @@ from namebridge.operators.candidates import (
     same_given,
 )
 from namebridge.operators.ranking import candidate_order, rank_candidates
+from namebridge.operators.register_index import (
+    PROFILE,
+    RegisterIndex,
+    named_profiles,
+    with_block_keys,
+    with_profile,
+)
 from namebridge.operators.scoring import (
     same_lei,
     same_registration,
@@ -57,19 +64,15 @@ from namebridge.sources.tables import materialise
 
 
 def _keyed_rules_never_score_less(config: MatchConfig) -> bool:
-    """True for the scoring parameters for which the module's last argument is proved."""
-    known = MatchConfig()
-    return all(
-        getattr(config, name) == getattr(known, name) for name in ("lei_score", "score_cap", "country_bonus")
-    )
-
+    """True where the module's last argument holds: a keyed row scores at least as much as by its name alone.
 
-def _with_profile(rows: DataFrame, side: str) -> DataFrame:
-    """Profile columns that can be joined on: a missing value is the same evidence, null or empty."""
-    return rows.withColumns({
-        f"_{side}_country": F.coalesce(f"{side}_country", F.lit("")),
-        f"_{side}_address": F.coalesce(f"{side}_address", F.lit("")),
-    })
+    By LEI that is so if the LEI score reaches the cap. By registration number and with equal countries the score is
+    0.90 + 0.10 ratio, by name at most the cap and at most 0.40 + 0.60 ratio + bonus. Up to ratio = 1 - 2 bonus the
+    latter is no larger; from there on the former is at least 1 - 0.20 bonus, which the cap must not exceed. With other
+    countries there is no bonus and the score by number is never less.
+    """
+    bonus = config.country_bonus
+    return 0 <= bonus <= 0.5 and config.score_cap <= min(config.lei_score, 1 - 0.2 * bonus)
 
 
 def _profile(side: str, with_address: bool) -> list[str]:
@@ -156,8 +159,8 @@ def _by_name(
     clients: DataFrame, reference: DataFrame, config: MatchConfig, depth: int, with_address: bool
 ) -> DataFrame:
     gave_address = is_given(F.col("client_address"))
-    left = _with_profile(client_side(clients), "client").filter(gave_address if with_address else ~gave_address)
-    right = _with_profile(reference_side(reference), "candidate")
+    left = with_profile(client_side(clients), "client").filter(gave_address if with_address else ~gave_address)
+    right = with_profile(reference_side(reference), "candidate")
     left_profile, right_profile = _profile("client", with_address), _profile("candidate", with_address)
     # Written, so that both joins shuffle both sides and adaptive execution can split a frequent profile.
     leading = materialise(leading_profile_pairs(left, right, config, depth, with_address), "leading_pairs")
@@ -172,7 +175,11 @@ def _by_name(
 
 def _by_key(clients: DataFrame, reference: DataFrame, config: MatchConfig) -> DataFrame:
     by_lei = pairs_by_lei(clients, reference)
-    by_registration = pairs_by_registration(clients, reference, config).filter(~same_lei())
+    return _scored_by_key(by_lei, pairs_by_registration(clients, reference, config), config)
+
+
+def _scored_by_key(by_lei: DataFrame, by_registration: DataFrame, config: MatchConfig) -> DataFrame:
+    by_registration = by_registration.filter(~same_lei())
     # An equal LEI settles the score: no need to compare the names.
     client_name = F.when(~same_lei(), F.col("client_clean_name"))
     similarity = name_similarity(client_name, F.col("candidate_clean_name"), config)
@@ -182,14 +189,79 @@ def _by_key(clients: DataFrame, reference: DataFrame, config: MatchConfig) -> Da
     return _with_methods(pairs, _in_block(config), by_lei_method, by_registration_method)
 
 
+def _leading_by_index(clients: DataFrame, index: RegisterIndex, config: MatchConfig, depth: int) -> DataFrame:
+    """The ``depth`` best register profiles per client profile, with their name similarity; names meet once."""
+    left_profile = _profile("client", with_address=True)
+    profiles = clients.select(*left_profile).distinct().withColumn(
+        "_client_address_tokens", token_set(F.col("_client_address")))
+    named = named_profiles(profiles, left_profile[0], [*left_profile[1:], "_client_address_tokens"])
+    named = named.withColumnRenamed("_profiles", "_client_profiles").withColumnRenamed("_list", "_client_list")
+    named = named.withColumn("_client_tokens", token_set(F.col(left_profile[0])))
+    keyed = materialise(with_block_keys(named, left_profile[0], config), "client_keys")
+    pairs = index.names.join(keyed, [left_profile[0], "_client_list"], config.cell_rows)
+    names = F.col(left_profile[0]), F.col(PROFILE[0])
+    prefixes_differ = name_prefix(names[0], config.prefix_length) != name_prefix(names[1], config.prefix_length)
+    compared = (
+        pairs.filter(F.startswith("_key", F.lit("p:")) | prefixes_differ)
+        .withColumn("name_similarity", name_similarity(*names, config))
+        .withColumn("token_score", jaccard(F.col("_client_tokens"), F.col("_candidate_tokens")))
+    )
+    spread = (
+        compared.select(*names, "name_similarity", "token_score", "_candidate_profiles", F.inline("_client_profiles"))
+        .select(*left_profile, "_client_address_tokens", PROFILE[0], "name_similarity", "token_score",
+                F.inline("_candidate_profiles"))
+    )
+    countries = F.col("_client_country"), F.col("_candidate_country")
+    address = address_score(F.col("_client_address"), F.col("_client_address_tokens"), F.col("_address_tokens"))
+    best_first = Window.partitionBy(*left_profile).orderBy(*candidate_order("_first_id"))
+    return (
+        spread.withColumns({
+            "country_score": field_match_score(*countries),
+            "address_score": address,
+            # The better of the methods that find the pair.
+            "candidate_method": F.when(same_given(*countries), NAME_COUNTRY_BLOCK).otherwise(NAME_ONLY_BLOCK),
+        })
+        .withColumn("match_score", score_by_name(config))
+        .select(*left_profile, *PROFILE, "_first_id", "candidate_method", "match_score", "name_similarity")
+        .withColumn("_n", F.row_number().over(best_first))
+        .filter(F.col("_n") <= depth)
+        .select(*left_profile, *PROFILE, "name_similarity")
+    )
+
+
+def _rows_by_index(clients: DataFrame, index: RegisterIndex, config: MatchConfig, depth: int) -> DataFrame:
+    """The same rows as ``_by_name`` and ``_by_key`` give; no register table is shuffled or counted."""
+    left = with_profile(client_side(clients), "client")
+    left_profile = _profile("client", with_address=True)
+    leading = materialise(_leading_by_index(left, index, config, depth), "leading_pairs")
+    pairs = leading.join(left, left_profile)
+    copies = index.copies.filter(F.col("_n") <= depth).drop("_n")
+    by_name = pairs.join(copies, PROFILE).filter(~same_lei() & ~same_registration())
+    profile_columns = [f"_{side}_{field}" for side in ("client", "candidate") for field in ("country", "address")]
+    by_name = _with_methods(by_name.drop(*profile_columns), F.lit(True))
+    plain = client_side(clients)
+
+    def keyed(field: str) -> DataFrame:
+        return plain.filter(is_given(F.col(field))).withColumn("_key", F.col(field))
+
+    by_lei = index.leis.join(keyed("client_lei"), ["client_entity_id"], config.cell_rows).drop("_key")
+    by_number = index.numbers.join(
+        keyed("client_registration_number"), ["client_entity_id"], config.cell_rows).drop("_key")
+    return by_name.unionByName(_scored_by_key(by_lei, by_number, config))
+
+
 def best_candidates(
-    clients: DataFrame, reference: DataFrame, config: MatchConfig = MatchConfig(), depth: int | None = None
+    clients: DataFrame, reference: DataFrame, config: MatchConfig = MatchConfig(), depth: int | None = None,
+    index: RegisterIndex | None = None,
 ) -> DataFrame:
     """Ranked candidates down to ``depth`` (the review depth by default) per client.
 
-    Both ids must be keys of their tables.
+    Both ids must be keys of their tables. An ``index`` of the same register saves its shuffles and counts; it is used
+    where it was built for such blocks and this depth.
     """
     depth = config.review_depth if depth is None else depth
+    if index is not None and index.fits(config, depth) and _keyed_rules_never_score_less(config):
+        return rank_candidates(score_rows(_rows_by_index(clients, index, config, depth), config), depth)
     if not _keyed_rules_never_score_less(config):
         candidates = generate_candidates(clients, reference, config, ids_are_keys=True)
         return rank_candidates(score_candidates(candidates, config), depth)

@@ -18,7 +18,7 @@ meets in exactly one cell; no pair is dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namebridge.functions.text import first_token, is_given, name_prefix
@@ -37,17 +37,18 @@ def block_keys(name: Column, prefix_length: int) -> Column:
     ).otherwise(F.array(prefix_key))
 
 
+def pair_partitions(spark: SparkSession) -> int:
+    """Tasks for work whose cost per row is high: several for each core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def spread_rows(df: DataFrame, *columns: str) -> DataFrame:
     """Hash the rows over all cores, several tasks to each.
 
     For steps whose cost per row is high (pairs, Python): adaptive execution would merge
     partitions by their bytes and leave cores idle, and with one task per core the slowest decides.
     """
-    spark = df.sparkSession
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism
-    )
-    return df.repartition(partitions, *columns)
+    return df.repartition(pair_partitions(df.sparkSession), *columns)
 
 
 def _cells_per_key(left: DataFrame, right: DataFrame, key: str, cell_rows: int) -> DataFrame:

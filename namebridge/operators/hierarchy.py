@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from namebridge.config import MatchConfig
 from namebridge.functions.text import upper_key
 from namebridge.operators.blocking import spread_join
+from namebridge.sources.tables import materialise
 
 # Relationship types of the register.
 ROLES = {"direct": "IS_DIRECTLY_CONSOLIDATED_BY", "ultimate": "IS_ULTIMATELY_CONSOLIDATED_BY"}
@@ -72,10 +73,16 @@ def enrich_hierarchy(
     ``config.active_edges_only`` is set.
     """
     given = F.col("matched_lei").isNotNull()
-    both = matched_leis = matches.select("matched_lei").filter(given).distinct()
+    # One row per LEI, written once: both roles, and the check for hot LEIs, read it.
+    counted = materialise(matches.filter(given).groupBy("matched_lei").agg(F.count("*").alias("_matches")), "matched_leis")
+    both = matched_leis = counted.select("matched_lei")
+    without = matches.filter(~given)
     for role in ROLES:
         both = both.join(parents(matched_leis, edges, entities, role, config), "matched_lei", "left")
-    # Both roles are resolved per distinct LEI; the matches meet them once, a hot LEI in many cells.
-    found = spread_join(matches.filter(given), both, "matched_lei", matches.columns, both.columns, config.cell_rows)
-    without = matches.filter(~given)
+    if counted.filter(F.col("_matches") > config.cell_rows).isEmpty():
+        found = matches.filter(given).join(both, "matched_lei")
+    else:
+        # The matches of a hot LEI meet its parents in many cells; the parents are counted and joined, so written.
+        both = materialise(both, "parents")
+        found = spread_join(matches.filter(given), both, "matched_lei", matches.columns, both.columns, config.cell_rows)
     return found.unionByName(without, allowMissingColumns=True).select(*HIERARCHY_COLUMNS)

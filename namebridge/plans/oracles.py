@@ -439,6 +439,24 @@ _chain("_seq", "evidence", {"evidence": _RATIO_EVIDENCE})
 _chain("_file", "clients", {"evidence": _RATIO_EVIDENCE, "clients": _normalised(
     "upload_ids", "submitted_name", "client_entity_id, submitted_name, country, registration_number, lei, address")})
 
+#: Clients of files in three shapes: all columns, names alone, and some columns in another order. A line of a file
+#: of names that holds none is an empty line, which is no row of the file.
+_STEPS["arrived_rows"] = """
+    select client_name, country, registration_number, lei, address from fx_client_file where country is not null
+    union all select client_name, null, null, null, null from fx_client_file where client_name is not null
+    union all select client_name, null, null, lei, address from fx_client_file
+    union all select client_name, country, registration_number, lei, address from fx_client_file
+        where country is not null
+"""
+_STEPS["arrived"] = f"""
+    select {_CLIENT_ID} as client_entity_id, * from (
+        select distinct trim(client_name) as submitted_name, trim(country) as country,
+            trim(registration_number) as registration_number, trim(lei) as lei, trim(address) as address
+        from arrived_rows where trim(client_name) <> '') fields
+"""
+_chain("_arrived", "clients", {"clients": _normalised(
+    "arrived", "submitted_name", "client_entity_id, submitted_name, country, registration_number, lei, address")})
+
 _STEPS["gold_lev"] = f"{_gold('best', True)} union all {_gold('unmapped', False)}"
 _STEPS["queue_lev"] = _queue("ranked")
 
@@ -462,6 +480,21 @@ _FINAL = {
         select * exclude (run_id, client_entity_id)
         from ({_gold('best_file', True)} union all {_gold('unmapped_file', False)}) gold
     """,
+    "arrivals_gold": f"""
+        select * exclude (run_id)
+        from ({_gold('best_arrived', True)} union all {_gold('unmapped_arrived', False)}) gold
+    """,
+    "arrivals_matches": "select * exclude (run_id) from matches_arrived",
+    "arrivals_review_queue": f"select * exclude (run_id) from ({_queue('ranked_arrived')}) queue",
+    "arrivals_rejected_rows": """
+        select *, case when client_name is null then 'missing_client_name' else 'blank_client_name' end
+            as reject_reason
+        from arrived_rows where client_name is null or trim(client_name) = ''
+    """,
+    "arrivals_rejected_files": """
+        select 'company,country' as headers, 'no_client_name_column' as reject_reason, count(*) as n_rows
+        from fx_client_file
+    """,
     "clean_names": f"""
         select lei, {_clean("legal_name")} as clean_name,
             {_clean("coalesce(legal_name, '')", strip_legal=False)} as unstripped_name

@@ -5,6 +5,7 @@ The workflow keeps every stage as a table that the next steps read; so do the qu
 
 from __future__ import annotations
 
+from collections.abc import Hashable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from namebridge.operators.best_candidates import best_candidates
 from namebridge.operators.hierarchy import enrich_hierarchy
 from namebridge.operators.normalise import clean_clients, clean_internal, clean_reference
 from namebridge.operators.ranking import match_results
+from namebridge.operators.register_index import RegisterIndex
 from namebridge.plans.fixtures import views
 from namebridge.sources.tables import materialise
 
@@ -25,12 +27,19 @@ LEV = MatchConfig(similarity="levenshtein")
 class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.views = views(spark, sf_dir)
-        self._tables: dict[str, DataFrame] = {}
+        self._tables: dict[Hashable, DataFrame] = {}
+        self._index: RegisterIndex | None = None
 
-    def _table(self, name: str, build) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = materialise(build(), name)
-        return self._tables[name]
+    def _table(self, key: Hashable, build) -> DataFrame:
+        if key not in self._tables:
+            self._tables[key] = materialise(build(), key if isinstance(key, str) else key[0])
+        return self._tables[key]
+
+    def index(self) -> RegisterIndex:
+        """The register prepared for matching, as a refresh of the register leaves it."""
+        if self._index is None:
+            self._index = RegisterIndex.scratch(self.reference())
+        return self._index
 
     def clients(self) -> DataFrame:
         return self._table("clients", lambda: clean_clients(self.views["fx_clients"]))
@@ -55,7 +64,8 @@ class Stages:
 
     def ranked(self, config: MatchConfig) -> DataFrame:
         return self._table(
-            f"ranked_{abs(hash(config)):x}", lambda: best_candidates(self.clients(), self.reference(), config)
+            ("ranked", config),
+            lambda: best_candidates(self.clients(), self.reference(), config, index=self.index()),
         )
 
     def matches(self, config: MatchConfig) -> DataFrame:
@@ -63,7 +73,7 @@ class Stages:
 
     def hierarchy(self, config: MatchConfig) -> DataFrame:
         return self._table(
-            f"hierarchy_{abs(hash(config)):x}",
+            ("hierarchy", config),
             lambda: enrich_hierarchy(self.matches(config), self.edges(), self.entities(), config),
         )
 

@@ -43,12 +43,13 @@ UNITS = ("km", "m", "cm", "mm", "mi", "miles?", "feet", "ft", "inch(?:es)?", "kg
          "ounces?", "l", "ml", "lit(?:er|re)s?", "met(?:er|re)s?", "grams?", "s", "sec(?:ond)?s?", "min(?:ute)?s?",
          "h", "hours?", "days?", "weeks?", "months?", "years?", "%", "percent", "dollars?", "euros?", "cents?",
          "degrees?", "mph", "kmh", "watts?", "volts?")
-_NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,]+[0-9]+)*"
+# The patterns look back from a match's first character, so that most positions fail at one comparison.
+_NUMBER = r"[0-9](?<![\p{L}\p{N}][0-9])[0-9]*(?:[.,]+[0-9]+)*"
 _UNIT = r"(?i)(?<=\x01d\x02|[0-9]\x02)(\s?)(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])"
 #: A capital after something other than the end of a sentence.
-_NAME = r"(?<=[^.!?:\s]\s)\p{Lu}\p{Ll}[\p{L}]*"
+_NAME = r"\p{Lu}(?<=[^.!?:\s]\s\p{Lu})\p{Ll}\p{L}*"
 #: Any other capital: a name or the first word of a sentence.
-_START = r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}[\p{L}]*"
+_START = r"\p{Lu}(?<![\p{L}\p{N}]\p{Lu})\p{Ll}\p{L}*"
 _TOKEN = r"\x01[^\x02]*\x02|[\p{L}\p{N}]+"
 
 
@@ -62,9 +63,10 @@ def tokens(text: Column, values: bool) -> Column:
     t = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "  ") if values else F.coalesce(text, F.lit(""))
     t = F.regexp_replace(t, _NAME, f"\x01n{keep}\x02")
     t = F.regexp_replace(t, _START, "\x01s$0\x02")
-    t = F.regexp_replace(t, _NUMBER, f" \x01d{keep}\x02")
-    t = F.regexp_replace(t, _UNIT, f"$1\x01u{'$2' if values else ''}\x02")
-    return F.regexp_extract_all(F.lower(t), F.lit(_TOKEN), F.lit(0))
+    # A unit only counts after a number, so a text without a digit needs neither pass.
+    numbers = F.regexp_replace(t, _NUMBER, f" \x01d{keep}\x02")
+    units = F.regexp_replace(numbers, _UNIT, f"$1\x01u{'$2' if values else ''}\x02")
+    return F.regexp_extract_all(F.lower(F.when(text.rlike("[0-9]"), units).otherwise(t)), F.lit(_TOKEN), F.lit(0))
 
 
 def plain(words: str) -> str:
@@ -77,20 +79,33 @@ def value(word: str) -> str:
     return f"if(startswith({word}, '\x01'), substring({word}, 3, length({word}) - 3), {word})"
 
 
+def _chained(a: str, n: int) -> str:
+    """SQL for the hashes of n entries in a row of an array of hashes, made from those of half as many."""
+    if n == 1:
+        return a
+    half, count = n // 2, f"greatest(size({a}) - {n - 1}, 0)"
+    part = f"b{n}"
+    both = f"zip_with(slice({part}, 1, {count}), slice({part}, {half + 1}, {count}), (x, y) -> xxhash64(x, y))"
+    if n % 2:
+        both = f"zip_with({both}, slice({a}, {n}, {count}), (x, y) -> xxhash64(x, y))"
+    return f"transform(array({_chained(a, half)}), {part} -> {both})[0]"
+
+
 def windows(words: str, config: TemplateConfig) -> Column:
     """Hashes of the windows of an array of template words.
 
-    First those with all words of kind s as words; then, where there are such words, as many with all of them as names.
+    First those with all words of kind s as words; then, where there are such words, as many with all of them as names,
+    null for windows without such a word, which would only repeat the first.
     """
     n = config.window
-    each = f"transform(sequence(1, size({words}) - {n - 1}), i -> xxhash64(slice(a, i, {n})))"
     as_word = f"transform({words}, x -> xxhash64(if(startswith(x, '\x01s'), {value('x')}, x)))"
-    as_name = f"transform({words}, x -> xxhash64(if(startswith(x, '\x01s'), '\x01n\x02', x)))"
+    as_name = f"zip_with({words}, w, (x, h) -> if(startswith(x, '\x01s'), xxhash64('\x01n\x02'), h))"
     return F.expr(f"""
         case when size({words}) < {n} then cast(array() as array<bigint>)
         when exists({words}, x -> startswith(x, '\x01s'))
-          then flatten(transform(array({as_word}, {as_name}), a -> {each}))
-        else transform(array({as_word}), a -> {each})[0] end""")
+          then transform(array(transform(transform(array({as_word}), w -> array(w, {as_name}))[0], a -> {_chained("a", n)})), v ->
+            concat(v[0], zip_with(v[0], v[1], (x, y) -> if(x = y, null, y))))[0]
+        else transform(array({as_word}), a -> {_chained("a", n)})[0] end""")
 
 
 def _literal(hashes: str, words: str, config: TemplateConfig) -> Column:
@@ -145,10 +160,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None
         .withColumn("q", _place("at", "size", config)).select("item", "q", F.expr("iw[q]").alias("c"), "w")
     keys = _sized(places.select("w").distinct(), config.broadcast_rows)
     rows = _keyed(docs)
-    words = rows.select("doc_id", "h", "size", tokens(F.replace(F.replace(
-        F.col("text"), F.lit("\x01"), F.lit(" ")), F.lit("\x02"), F.lit(" ")), False).alias("words"))
+    words = rows.select("doc_id", "h", "size", tokens(F.translate("text", "\x01\x02", "  "), False).alias("words"))
     found = words.select("doc_id", "h", "size", F.size("words").alias("n"), F.posexplode(windows("words", config)).alias("at", "w")) \
-        .join(keys, "w").withColumn("p", _place("at", "n", config))
+        .where("w is not null").join(keys, "w").withColumn("p", _place("at", "n", config))
     found = written(found.select("doc_id", "h", "size", "p", "w").distinct(), "windows")
     pairs = found.join(_sized(places, config.broadcast_rows), "w")
     totals = items.select("item", "item_id", "total", "iv")

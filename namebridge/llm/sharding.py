@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 from namebridge.llm.stages import documents, written
 
 SLOTS = 4096
+#: Tasks over which repeated rows are dealt while they learn that they repeat.
+_SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -95,14 +97,11 @@ def slot_bytes(records: DataFrame) -> dict[int, int]:
 def assign(docs: DataFrame, shards: int = 8, slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
     """docs with size, vslot, shard and slot (place in the shard, gapless from 0), and the map behind it.
 
-    The slot hashes doc_id and text together, so neither a frequent id nor a group of copies fills one slot.
+    The slot hashes doc_id and text together, so neither a frequent id nor a group of copies fills one slot; equal
+    texts are spread like any others. Rows that repeat id and text are told apart by their place in the table, so they
+    are spread as well. Columns of docs with the names added here (and ``slot_begin``) are replaced.
     """
-    sized = docs.withColumns({
-        "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1,
-        "text_crc32": F.crc32(F.coalesce("text", F.lit(""))),
-        "vslot": record_slot(["doc_id", "text"], slots),
-    })
-    light = written(sized.drop("text"), "sharding")
+    light = written(_light(docs, slots), "sharding")
     counts = {r.vslot: (r.b, r.n) for r in light.groupBy("vslot").agg(
         F.sum("size").alias("b"), F.count("*").alias("n")).collect()}
     layout = first_map(shards, slots).rebalanced({s: b for s, (b, _) in counts.items()})
@@ -120,8 +119,49 @@ def assign(docs: DataFrame, shards: int = 8, slots: int = SLOTS) -> tuple[DataFr
     return out.withColumn("slot", F.col("slot") + F.col("slot_begin")).drop("slot_begin"), layout
 
 
+def _light(docs: DataFrame, slots: int) -> DataFrame:
+    """docs without text, with size, text_crc32 and vslot.
+
+    Rows that agree in id and text with more than one other are spread by a number that each row has once it is
+    written here; they look up in many tasks that they are repeated, so that no group of them meets in one.
+    """
+    sized = docs.withColumns({
+        "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1,
+        "text_crc32": F.crc32(F.coalesce("text", F.lit(""))),
+        "_llm_h": F.xxhash64("doc_id", "text"),
+        "_llm_at": F.monotonically_increasing_id(),
+    }).drop("text", "slot_begin")
+    sized = written(sized, "sizes")
+    often = sized.groupBy("_llm_h").agg(F.count("*").alias("n")).where("n > 2").select(
+        "_llm_h", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_llm_salt"), F.lit(True).alias("_llm_often"))
+    marked = sized.withColumn("_llm_salt", F.pmod(F.xxhash64("_llm_at"), F.lit(_SALTS)).cast("int")) \
+        .join(often, ["_llm_h", "_llm_salt"], "left")
+    place = F.when(F.col("_llm_often"), F.xxhash64("_llm_h", "_llm_at")).otherwise(F.col("_llm_h"))
+    return marked.withColumn("vslot", F.pmod(place, F.lit(slots)).cast("int")) \
+        .drop("_llm_h", "_llm_at", "_llm_salt", "_llm_often")
+
+
+def load_map(spark: SparkSession, path: str) -> SlotMap:
+    """The map that ``write_shards`` or ``rebalance`` stored: versions times slots rows."""
+    rows = spark.read.parquet(f"{path}/map").orderBy("version", "vslot").collect()
+    versions: dict[int, list[int]] = {}
+    for r in rows:
+        versions.setdefault(r.version, []).append(r.shard)
+    return SlotMap(1 + max(r.shard for r in rows), tuple(tuple(v) for _, v in sorted(versions.items())))
+
+
+def rebalance(records: DataFrame, path: str, out: str) -> SlotMap:
+    """Edit the stored map by the bytes per slot of records(vslot, size); its versions, one more, go to out."""
+    layout = load_map(records.sparkSession, path).rebalanced(slot_bytes(records))
+    layout.table(records.sparkSession).write.parquet(f"{out}/map")
+    return layout
+
+
 def write_shards(docs: DataFrame, path: str, shards: int = 8, slots: int = SLOTS) -> SlotMap:
-    """One folder of Parquet files per shard under path/data, the map's versions under path/map."""
+    """One folder of Parquet files per shard under path/data, the map's versions under path/map.
+
+    Here the slot follows from id and text alone, so rows that repeat both stay together.
+    """
     counts = slot_bytes(docs.select(
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("size"),
         record_slot(["doc_id", "text"], slots).alias("vslot")))

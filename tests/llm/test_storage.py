@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from namebridge.llm import sentencepiece_codec as S
 from namebridge.llm import sharding
@@ -77,3 +78,26 @@ def test_rebalancing_is_near_equal_and_moves_little():
     sums = [sum(w for s, w in weights.items() if layout.current[s] == k) for k in range(8)]
     assert max(sums) - min(sums) <= 10
     assert sum(a != b for a, b in zip(*layout.versions, strict=True)) < 100
+
+
+def test_a_row_repeated_very_often_is_spread(spark):
+    rows = [(1, "the same text again", None, None, None)] * 3000 + [(i, "other " * 3, None, None, None) for i in range(2, 1002)]
+    placed, _ = sharding.assign(table(spark, rows).repartition(3).withColumn("slot", F.lit("own")), shards=8)
+    sums = [r.b for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sums) == 8 and max(sums) - min(sums) <= 20 and placed.count() == 4000
+    slots = placed.groupBy("shard").agg(F.max("slot").alias("m"), F.countDistinct("slot").alias("n")).collect()
+    assert all(r.m == r.n - 1 for r in slots)
+
+
+def test_a_stored_map_is_edited(spark, tmp_path):
+    rows = [(i, "x" * (i % 50), None, None, None) for i in range(500)]
+    docs = table(spark, rows)
+    first = sharding.write_shards(docs, str(tmp_path / "a"), shards=4, slots=64)
+    assert sharding.load_map(spark, str(tmp_path / "a")) == first
+    grown = docs.unionByName(table(spark, [(1000, "y" * 5000, None, None, None)])).withColumn(
+        "vslot", sharding.record_slot(["doc_id", "text"], 64)).withColumn("size", F.octet_length("text") + 1)
+    edited = sharding.rebalance(grown, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert edited.versions[:-1] == first.versions and sharding.load_map(spark, str(tmp_path / "b")) == edited
+    held = sharding.slot_bytes(grown)
+    sums = [sum(b for s, b in held.items() if edited.current[s] == k) for k in range(4)]
+    assert max(sums) - min(sums) < 1000

@@ -389,7 +389,8 @@ def repeated(docs: DataFrame, config: DedupConfig | None = None) -> DataFrame:
         (F.col("s") + F.col("o") + F.col("n") + length - 1).alias("end"))
     spans = hits.where("whole").select(
         "h", "c", F.col("s").alias("start"), (F.col("s") + F.col("l")).alias("end")).unionByName(parts)
-    return spans.groupBy("h", "c").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # A set: repeated rows find the same spans, which count once.
+    return spans.groupBy("h", "c").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def _handle(docs: DataFrame) -> DataFrame:

@@ -68,3 +68,17 @@ def test_whole_characters(spark):
 
 def test_empty_table(spark):
     assert S.dedup(table(spark, [])).collect() == []
+
+
+def test_repeated_rows_share_one_list_of_spans(spark):
+    text = " ".join(f"w{i * 7919 % 10007}" for i in range(300))
+    one = suffix_spans(spark, [(1, text)] * 2)
+    many = suffix_spans(spark, [(1, text)] * 300)
+    assert many == one and len(many) == 1
+
+
+def suffix_spans(spark, rows):
+    from namebridge.llm import suffix_dedup
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return [sorted(map(tuple, r.spans)) for r in suffix_dedup.repeated(df).collect()]

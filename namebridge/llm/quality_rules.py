@@ -24,9 +24,11 @@ _BLANK = r"[\\x20\\x09-\\x0D]"
 
 @dataclass(frozen=True)
 class QualityConfig:
-    #: A line is removed from a host where it is in more documents than this and than this share of them.
+    #: A line is removed from a host where it is in more documents than this and than this share of them; in large
+    #: hosts, where the share is more than ``line_most`` documents, from that number on.
     line_documents: int = 20
     line_share: float = 0.02
+    line_most: int = 1000
     #: A document is depleted if more than this share of its words goes.
     depleted_share: float = 0.5
     least_words: int = 20
@@ -78,7 +80,7 @@ def judge(docs: DataFrame, config: QualityConfig | None = None) -> DataFrame:
         .groupBy("host", "h").agg(F.count("*").alias("holders")).where(F.col("holders") > config.line_documents)
     often = often.join(hosts, often["host"].eqNullSafe(hosts["host"])).select(
         often["host"], "h", "holders", "host_documents").where(
-        F.col("holders") > config.line_share * F.col("host_documents"))
+        F.col("holders") > _limit(config))
     often = often.select(F.col("host").alias("_host"), F.col("h").alias("_h"))
     removed = lines.join(often, lines["host"].eqNullSafe(F.col("_host")) & (lines["h"] == F.col("_h"))) \
         .groupBy("uid").agg(F.sum("n").alias("n_removed_words"))
@@ -90,6 +92,10 @@ def judge(docs: DataFrame, config: QualityConfig | None = None) -> DataFrame:
     return out.withColumns({"base_failed": failed, "depleted": depleted, "kept": ~failed & ~depleted})
 
 
+def _limit(config: QualityConfig):
+    return F.least(config.line_share * F.col("host_documents"), F.lit(float(config.line_most)))
+
+
 def clean_lines(docs: DataFrame, config: QualityConfig | None = None) -> DataFrame:
     """docs whose text has lost the lines that are too frequent in its host; depleted documents are left out."""
     config = config or QualityConfig()
@@ -98,7 +104,7 @@ def clean_lines(docs: DataFrame, config: QualityConfig | None = None) -> DataFra
     often = counted.select("host", F.explode(F.array_distinct(F.expr("transform(lines, x -> x.h)"))).alias("h")) \
         .groupBy("host", "h").agg(F.count("*").alias("holders")).where(F.col("holders") > config.line_documents)
     often = often.join(hosts, often["host"].eqNullSafe(hosts["host"])).where(
-        F.col("holders") > config.line_share * F.col("host_documents")).select(
+        F.col("holders") > _limit(config)).select(
         often["host"].alias("_host"), F.col("h").alias("_h"))
     rows = written(docs.withColumn("_uid", F.monotonically_increasing_id()), "quality-rows")
     split = rows.select("_uid", F.col("source").alias("host"), F.posexplode(F.split("text", "\n")).alias("at", "l"))
@@ -137,7 +143,7 @@ l as (select doc_id, host, lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ',
 f as (select host, x, count(distinct doc_id) as holders from l group by host, x),
 h as (select host, count(*) as host_documents from d group by host),
 o as (select f.host, f.x from f join h on f.host is not distinct from h.host
-      where holders > 20 and holders > 0.02 * host_documents),
+      where holders > 20 and (holders > 0.02 * host_documents or holders > 1000)),
 r as (select doc_id, sum(length(l.x) - length(replace(l.x, ' ', '')) + 1) as n_removed_words
       from l join o on l.x = o.x and l.host is not distinct from o.host group by doc_id),
 m as (select b.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,

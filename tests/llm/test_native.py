@@ -133,3 +133,34 @@ def test_license_scan(spark):
         assert text not in texts or r.labels == texts[text]
         assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
     assert len(license_scan.rules()) > 300 and license_scan.scan(table(spark, [])).collect() == []
+
+
+def test_lines_of_large_hosts_go_from_a_fixed_number_of_documents_on(spark):
+    """120 documents of a host of 4000 hold a line: not 2 percent, but above the fixed limit of 100."""
+    import duckdb
+
+    from namebridge.llm import quality_rules
+
+    rows = []
+    for i in range(4000):
+        own = " ".join(f"word{i}x{k}" for k in range(30))
+        rows.append((i, (" ".join(["common", *[f"w{k}" for k in range(40)]]) + "\n" + own if i % 33 == 0 else own),
+                     None, "large" if i else "small", None))
+    docs = table(spark, rows)
+    often = quality_rules.QualityConfig(line_most=100)
+    gone = quality_rules.judge(docs, often).where("n_removed_words > 0").count()
+    assert gone == sum(1 for r in rows if "common" in r[1] and r[3] == "large") == 121
+    assert quality_rules.judge(docs).where("n_removed_words > 0").count() == 121  # 121 is above 2 percent of 3999
+    rare = [r for i, r in enumerate(rows) if i % 66 or not i]
+    held = sum("common" in r[1] and r[3] == "large" for r in rare)
+    docs = table(spark, rare)
+    assert quality_rules.judge(docs).where("n_removed_words > 0").count() == 0
+    con = duckdb.connect()
+    for limit, expected in ((1000, 0), (30, held)):
+        con.execute("create or replace table documents as select * from (values (0, '', '', '', 0)) t(doc_id, text, lang, source, n_chars) where false")
+        con.executemany("insert into documents values (?, ?, ?, ?, ?)", [(a, b, c or "", d, e or 0) for a, b, c, d, e in rare])
+        sql = quality_rules.SQL.replace("holders > 1000", f"holders > {limit}")
+        got = sorted((r.doc_id, r.n_removed_words, r.kept) for r in quality_rules.judge(
+            docs, quality_rules.QualityConfig(line_most=limit)).collect())
+        result = con.execute(f"select doc_id, n_removed_words, kept from ({sql}) q order by 1").fetchall()
+        assert got == result and sum(n > 0 for _, n, _ in got) == expected

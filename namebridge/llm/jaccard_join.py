@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,6 +41,8 @@ from namebridge.llm.components import components
 from namebridge.llm.stages import documents, small_batches, written
 
 U64 = np.uint64
+#: Shingles that a task counts at a time while it looks for frequent ones.
+_PENDING = 500_000
 _C1, _C2 = U64(0xD1B54A32D192ED03), U64(0x8CB92BA72F3D8DD7)
 
 
@@ -121,7 +123,7 @@ def _profiles(rows: DataFrame, config: JoinConfig) -> DataFrame:
                 half = half[half < U64(1 << 63)]
                 waiting.append(half)
                 size += len(half)
-                if size > 2_000_000:
+                if size > _PENDING:
                     known, waiting, size = _add(known, waiting), [], 0
         known = _add(known, waiting)
         hot = known[1] >= max(4, config.frequent_share / 2 * n_docs)
@@ -134,7 +136,7 @@ def _profiles(rows: DataFrame, config: JoinConfig) -> DataFrame:
     def _add(known: tuple, waiting: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         flat = np.concatenate([np.zeros(0, U64), *waiting])
         merged = _merge_counts(known, np.unique(flat, return_counts=True))
-        if len(merged[0]) > 2_000_000:  # rare ones cannot be frequent; losing some only changes the order
+        if len(merged[0]) > _PENDING:  # rare ones cannot be frequent; losing some only changes the order
             keep = merged[1] > 1
             merged = merged[0][keep], merged[1][keep]
         return merged
@@ -538,11 +540,12 @@ def _split_large(large: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataF
     return links, near.unionByName(far)
 
 
-def _classes(docs: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, config: JoinConfig, handle: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Profiles (doc_id, n, k1, k2) of all documents, and (k1, k2, root1, root2) of classes that link."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("handle"), "text")
+    handle = F.xxhash64("doc_id", "text") if handle is None else handle
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), handle.alias("handle"), "text")
     profiled = written(_profiles(rows, config), "profiles")
     profiles = profiled.where("kind = 0").drop("kind")
     total = profiles.agg(F.count("*").alias("docs"), F.sum("n").alias("cells")).first()
@@ -622,16 +625,21 @@ def link(docs: DataFrame, config: JoinConfig | None = None) -> DataFrame:
 def keep_one(docs: DataFrame, config: JoinConfig | None = None) -> DataFrame:
     """One row of docs for each component, that of the smallest doc_id; rows without words all stay."""
     config = config or JoinConfig()
-    profiles, roots = _classes(docs, config)
+    # All columns name a row, so of rows that agree in id and text the same one stays on every run.
+    whole = [F.to_json(F.struct(f"`{f.name}`")) if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+             for f in docs.schema.fields]
+    names = [F.xxhash64(*whole), F.xxhash64(F.lit(1), *whole[::-1])]
+    profiles, roots = _classes(docs, config, names[0])
     groups = _grouped(profiles, roots)
     kept = groups.where("k1 = rep1 and k2 = rep2").select("k1", "k2", F.col("component_id").alias("_keep"))
     light = profiles.join(kept, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("_keep")))
     first = light.groupBy("k1", "k2").agg(F.min("handle").alias("_llm_handle")).select("_llm_handle")
     chosen = first.unionByName(profiles.where("n = 0").select(F.col("handle").alias("_llm_handle"))).distinct()
-    rows = docs.withColumn("_llm_handle", F.xxhash64("doc_id", "text")).join(chosen, "_llm_handle", "left_semi")
+    rows = docs.withColumns({"_llm_handle": names[0], "_llm_second": names[1]}).join(chosen, "_llm_handle", "left_semi")
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    single = rows.where(words).dropDuplicates(["_llm_handle"])
-    return single.unionByName(rows.where(~F.coalesce(words, F.lit(False)))).drop("_llm_handle")
+    # Rows that agree in both halves agree in all columns; rows that share one half by chance both stay.
+    single = rows.where(words).dropDuplicates(["_llm_handle", "_llm_second"])
+    return single.unionByName(rows.where(~F.coalesce(words, F.lit(False)))).drop("_llm_handle", "_llm_second")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

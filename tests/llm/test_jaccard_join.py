@@ -69,3 +69,11 @@ def test_prefix_and_half_bounds():
                     shared = common - max(n // 2 if J.prefix_length(n) <= -(-n // 2) else n - J.prefix_length(n),
                                           m // 2 if J.prefix_length(m) <= -(-m // 2) else m - J.prefix_length(m))
                     assert shared >= max(J.least_shared(n), J.least_shared(m))
+
+
+def test_the_row_that_stays_does_not_depend_on_partitions(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, lang, src, n) for lang in ("a", "b") for src in (None, "s") for n in (1, 2)]
+    rows += [(2, text + " ", "a", "s", 0), (3, text.upper(), "a", "s", 0)]
+    kept = {tuple(map(tuple, J.keep_one(table(spark, rows).repartition(n, "n_chars")).collect())) for n in (1, 2, 3, 5)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 1 and next(iter(kept))[0][0] == 1

@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namebridge.llm import decontamination, jaccard_join, sentencepiece_codec, suffix_dedup, toxicity
-from namebridge.llm.stages import written
+from namebridge.llm.stages import small_batches, written
 
 _WORD = r"[^\x20\x09-\x0D]"
+#: Rows of all columns that go through Python at a time: both sides hold a batch of texts in memory.
+_ROWS = 200
 
 
 def _apart(docs: DataFrame, *names: str) -> DataFrame:
@@ -34,6 +36,7 @@ def _back(out: DataFrame, docs: DataFrame, *names: str) -> DataFrame:
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark, _ROWS)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     names = ("score", "predicted")
     scored = toxicity.score(_apart(docs, *names), model)
@@ -41,6 +44,7 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark, _ROWS)
     return jaccard_join.keep_one(docs).select(docs.columns)
 
 

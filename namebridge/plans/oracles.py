@@ -440,10 +440,10 @@ _chain("_file", "clients", {"evidence": _RATIO_EVIDENCE, "clients": _normalised(
     "upload_ids", "submitted_name", "client_entity_id, submitted_name, country, registration_number, lei, address")})
 
 #: Clients of files in three shapes: all columns, names alone, and some columns in another order. A line of a file
-#: of names that holds none is an empty line, which is no row of the file.
+#: of names that holds none, or blanks alone, is an empty line, which is no row of the file.
 _STEPS["arrived_rows"] = """
     select client_name, country, registration_number, lei, address from fx_client_file where country is not null
-    union all select client_name, null, null, null, null from fx_client_file where client_name is not null
+    union all select client_name, null, null, null, null from fx_client_file where trim(client_name) <> ''
     union all select client_name, null, null, lei, address from fx_client_file
     union all select client_name, country, registration_number, lei, address from fx_client_file
         where country is not null

@@ -4,17 +4,22 @@ Counting. Texts are dealt into chunks by a hash; each chunk sends its distinct t
 tasks that hold the corpus counts of a block of tokens, and gets the counts back in the same order. So what is
 shuffled are the distinct tokens of chunks, not the tokens of texts, and no vocabulary passes through the driver.
 
-Model. A token falls into one of 256 bins: the most frequent words have bins of their own, all others share
-bins by their last bytes. log P(token | history) = log P(class | history) + log P(bin | class, history) + log
-P(token | bin): a class-factored softmax over 16 classes of 16 bins, with hashed features of the history
-(previous word, the word before it as a skip feature, both as a bigram, and a bias), and smoothed counts within
-the bin. The features are trained over all training texts: every task makes gradient steps over its texts
-from the current weights, and the changes are averaged by token numbers, for a number of rounds (iterative parameter
-mixing). Weights have a fixed size.
+Model. A token falls into one of ``side`` x ``side`` bins: the most frequent words have bins of their own, half of all
+bins, the others share bins by their last bytes. log P(token | history) = log P(class | history) + log P(bin | class,
+history) + log P(token | bin): a class-factored softmax with hashed features of the history (previous word, the word
+before it as a skip feature, both as a bigram), where the bins of each class have weights of their own (the class is
+part of the hash), and smoothed counts within the bin. The sides and the rows of the weight tables grow with
+the bytes of text (``sizes``).
+
+Training. Biases start from the counted bins, so a model without steps is the unigram model. Every task makes
+gradient steps over its training texts from the current weights. The changes are then mixed row by row: the
+mean over the tasks that used a row, weighted by uses, times at most the number of those tasks. The fewer uses a task had of a
+row, the nearer that is to the sum of the changes, as if they were made one after the other. Rows are mixed in blocks on
+the executors; the mixed tables, whose size the bytes of text fix, reach the driver once a round.
 
 Tokens are compared by 64-bit hashes. A null text is empty: its one token is the end. Texts with a null id belong to the
-training texts. Repeated rows count each time and score alike. Without any training text counts are 0 and the model is
-uniform over bins. An empty table gives an empty result; further columns are ignored.
+training texts. Repeated rows count each time and score alike. Without any training text counts are 0 and all bins
+are equally likely. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,43 +39,77 @@ from namebridge.llm.stages import documents, held_out, small_batches, written
 U64 = np.uint64
 END = U64(0x5851F42D4C957F2D)
 _START = U64(0x14057B7EF767814F)
-CLASSES = BINS = 16
-#: Bins of single words; the others hold the rest.
-TOP = 128
+_A, _B = U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)
+#: Features of a token's history.
+KINDS = 3
+#: Rows of a weight table that are mixed together.
+_BLOCK = 4096
 
 
 @dataclass(frozen=True)
 class LanguageModelConfig:
     #: Bytes of text in a chunk.
     chunk_bytes: int = 12_000_000
-    #: Rows of the hashed weight table.
-    features: int = 1 << 14
+    #: Classes, and bins of a class, at 100 MB of text; both grow with the eighth root of the bytes.
+    side: int = 16
+    #: Rows of a hashed weight table per bin, before rounding up to a power of two.
+    rows_per_bin: int = 64
     batch: int = 4096
     rate: float = 0.25
     rounds: int = 1
+    #: Uses of a row in a task from which on the tasks' changes are rather averaged than added.
+    settled: float = 64.0
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Classes and bins per class, and bits of the number of rows of a weight table."""
+
+    side: int
+    bits: int
+
+    @property
+    def bins(self) -> int:
+        return self.side**2
+
+    @property
+    def top(self) -> int:
+        """Bins of single words; the others hold the rest."""
+        return self.bins // 2
+
+    def rest(self, codes: np.ndarray) -> np.ndarray:
+        """Bins of tokens without one of their own."""
+        return self.top + codes.astype(np.int64) % (self.bins - self.top)
+
+
+def sizes(total: int, config: LanguageModelConfig) -> Sizes:
+    """Sizes for so many bytes of text: bins and rows grow with their fourth root."""
+    side = max(4, round(config.side * (total / 1e8) ** 0.125))
+    return Sizes(side, max(6, (config.rows_per_bin * side * side - 1).bit_length()))
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all tokens with an end after each text, their rest bins, and each text's first token (one more)."""
+    """Hashes of all tokens with an end after each text, codes of their last bytes, and each text's first token (one more)."""
     data = K.LOWER[data]
     starts, ends, first = K.words(data, offsets)
     words = K.span_hashes(data, starts, ends)
     if len(ends):
-        last = data[ends - 1].astype(np.int64) * 31 + data[np.maximum(ends - 2, starts)] * 7 + np.minimum(ends - starts, 4)
+        last = (data[ends - 1].astype(np.int64) * 31 + data[np.maximum(ends - 2, starts)].astype(np.int64) * 7
+                + data[np.maximum(ends - 3, starts)].astype(np.int64) * 1009 + np.minimum(ends - starts, 4))
     else:
         last = np.zeros(0, np.int64)
     n = len(offsets) - 1
     begin = first + np.arange(n + 1)
     out = np.full(len(words) + n, END)
-    bins = np.full(len(words) + n, TOP, np.uint8)
+    codes = np.zeros(len(words) + n, np.uint32)
     place = np.arange(len(words)) + np.repeat(np.arange(n), np.diff(first))
     out[place] = words
-    bins[place] = TOP + last % (CLASSES * BINS - TOP)
-    return out, bins, begin
+    codes[place] = last
+    return out, codes, begin
 
 
-def _features(hashes: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
-    """Rows of the weight table for every token: previous word, skip, bigram. The bias is row 0."""
+def _features(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Hashes of every token's features: previous word, skip, bigram."""
     previous = np.concatenate([[_START], hashes[:-1]])
     before = np.concatenate([[_START, _START], hashes[:-2]])[: len(hashes)]
     first = begin[:-1]
@@ -80,9 +119,7 @@ def _features(hashes: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
     before[second] = _START
     a = K.mix(previous ^ U64(0x1234567))
     b = K.mix(before + U64(0x89ABCDE))
-    c = K.mix(a + b * U64(3))
-    rows = np.stack([a, b, c], 1) % U64(size - 1)
-    return rows.astype(np.int64) + 1
+    return np.stack([a, b, K.mix(a + b * U64(3))])
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -91,48 +128,73 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 class Weights:
-    """Class weights, and bin weights (one set of columns for all classes, with a bias of each class's own)."""
-
-    def __init__(self, size: int) -> None:
-        self.w = np.zeros((size, CLASSES + BINS), np.float32)
-        self.bias = np.zeros((CLASSES, BINS), np.float32)
-
-    def scores(self, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.w[0] + self.w[rows[:, 0]] + self.w[rows[:, 1]] + self.w[rows[:, 2]]
-        return _softmax(x[:, :CLASSES]), _softmax(x[:, CLASSES:] + self.bias[classes])
+    """Hashed weights of the classes and of the bins, a bias per class, and one per bin of each class."""
+
+    def __init__(self, size: Sizes, counts: np.ndarray | None = None) -> None:
+        """Biases from the number of tokens in each bin, if given."""
+        self.size = size
+        rows, side = 1 << size.bits, size.side
+        known = np.full((side, side), 0.5) if counts is None else counts.reshape(side, side) + 0.5
+        self.tables = [np.zeros((rows, side), np.float32), np.zeros((rows, side), np.float32),
+                       np.log(known.sum(1)).astype(np.float32)[None], np.log(known).astype(np.float32)]
+
+    def copy(self) -> Weights:
+        out = Weights.__new__(Weights)
+        out.size, out.tables = self.size, [t.copy() for t in self.tables]
+        return out
 
-    def log10(self, rows: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    def rows(self, features: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the class table, and of the bin table, of the features."""
+        shift = U64(64 - self.size.bits)
+        own = (features + (classes.astype(U64) + U64(1)) * _A) * _B
+        return (features >> shift).astype(np.int64), (own >> shift).astype(np.int64)
+
+    def scores(self, rows: tuple[np.ndarray, np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of the classes, and of the bins of the given classes."""
+        x, y = self.tables[2], self.tables[3][classes]
+        for k in range(KINDS):
+            x = x + self.tables[0][rows[0][k]]
+            y = y + self.tables[1][rows[1][k]]
+        return _softmax(x), _softmax(y)
+
+    def log10(self, features: np.ndarray, bins: np.ndarray) -> np.ndarray:
         out = np.empty(len(bins))
-        for s in range(0, len(bins), 1 << 15):
-            part = bins[s : s + (1 << 15)].astype(np.int64)
-            c, b = divmod(part, BINS)
-            p, q = self.scores(rows[s : s + (1 << 15)], c)
-            at = np.arange(len(part))
-            out[s : s + len(part)] = np.log10(np.maximum(p[at, c], 1e-30)) + np.log10(np.maximum(q[at, b], 1e-30))
+        step = 1 << 13
+        for s in range(0, len(bins), step):
+            c, b = divmod(bins[s : s + step], self.size.side)
+            p, q = self.scores(self.rows(features[:, s : s + step], c), c)
+            at = np.arange(len(c))
+            out[s : s + len(c)] = np.log10(np.maximum(p[at, c], 1e-30)) + np.log10(np.maximum(q[at, b], 1e-30))
         return out
 
-    def step(self, rows: np.ndarray, bins: np.ndarray, rate: float, squares: np.ndarray) -> None:
+    def step(self, features: np.ndarray, bins: np.ndarray, rate: float, squares: list, uses: list) -> None:
         """One gradient step (with a rate per row that falls as the row is used)."""
-        c, b = divmod(bins.astype(np.int64), BINS)
+        c, b = divmod(bins, self.size.side)
+        rows = self.rows(features, c)
         p, q = self.scores(rows, c)
         at = np.arange(len(bins))
         p[at, c] -= 1
         q[at, b] -= 1
-        g = np.concatenate([p, q], 1).astype(np.float32)
-        self.w[0] -= rate * g.mean(0)
-        for k in range(rows.shape[1]):
-            order = np.argsort(rows[:, k], kind="stable")
-            row = rows[order, k]
-            new = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            total = np.add.reduceat(g[order], new, axis=0)
-            row = row[new]
-            squares[row] += (total**2).mean(1)
-            self.w[row] -= rate * total / np.sqrt(squares[row] + 1)[:, None]
-        onto = np.zeros_like(self.bias)
-        order = np.argsort(c, kind="stable")
-        new = np.flatnonzero(np.concatenate([[True], c[order][1:] != c[order][:-1]]))
-        onto[c[order][new]] = np.add.reduceat(q[order], new, axis=0)
-        self.bias -= rate * onto / np.maximum(np.bincount(c, minlength=CLASSES), 1)[:, None]
+        for table, g in enumerate((p, q)):
+            for k in range(KINDS):
+                row, total, n = _by_row(rows[table][k], g)
+                squares[table][row] += (total**2).mean(1)
+                uses[table][row] += n
+                self.tables[table][row] -= rate * total / np.sqrt(squares[table][row] + 1)[:, None]
+        self.tables[2] -= rate * p.mean(0)
+        uses[2] += len(c)
+        row, total, n = _by_row(c, q)
+        self.tables[3][row] -= rate * total / n[:, None]
+        uses[3][row] += n
+
+
+def _by_row(row: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows, the sums of g and the numbers of entries of each."""
+    bits = max(1, len(row).bit_length())
+    key = np.sort((row << bits) | np.arange(len(row)))  # sorts rows and keeps the order within a row
+    row, order = key >> bits, key & ((1 << bits) - 1)
+    new = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    return row[new], np.add.reduceat(g[order], new, axis=0), np.diff(np.append(new, len(row))).astype(np.float32)
 
 
 def _chunked(docs: DataFrame, chunks: int) -> DataFrame:
@@ -141,25 +203,25 @@ def _chunked(docs: DataFrame, chunks: int) -> DataFrame:
                        F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk"))
 
 
-_REQUEST = "block int, chunk int, hashes binary, counts binary, bins binary"
+_REQUEST = "block int, chunk int, hashes binary, counts binary, codes binary"
 
 
 def _chunk_tokens(texts: pa.Array, learn: np.ndarray):
-    """Distinct tokens of a chunk's texts: hashes in order, counts in training texts, rest bins."""
-    hashes, counts, bins = [], [], []
+    """Distinct tokens of a chunk's texts: hashes in order, counts in training texts, codes of last bytes."""
+    hashes, counts, codes = [], [], []
     for at, data, offsets in K.text_chunks(texts):
-        h, b, begin = tokens(data, offsets)
+        h, code, begin = tokens(data, offsets)
         size = np.diff(begin)
         use = np.repeat(learn[at : at + len(size)], size)
         values, index, place = np.unique(h, return_index=True, return_inverse=True)
         hashes.append(values)
         counts.append(np.bincount(place, use, len(values)).astype(np.uint32))
-        bins.append(b[index])
+        codes.append(code[index])
     if not hashes:
-        return np.zeros(0, U64), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        return np.zeros(0, U64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
     values, index, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
     total = np.bincount(place, np.concatenate(counts), len(values)).astype(np.uint32)
-    return values, total, np.concatenate(bins)[index]
+    return values, total, np.concatenate(codes)[index]
 
 
 def _block_edges(hashes: np.ndarray, blocks: int) -> np.ndarray:
@@ -171,7 +233,7 @@ def _requests(blocks: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         learn = table.column("learn").to_numpy(zero_copy_only=False).astype(float)
-        hashes, counts, bins = _chunk_tokens(table.column("text"), learn)
+        hashes, counts, codes = _chunk_tokens(table.column("text"), learn)
         chunk = table.column("chunk")[0].as_py()
         edge = _block_edges(hashes, blocks)
         used = [b for b in range(blocks) if edge[b + 1] > edge[b]]
@@ -180,43 +242,59 @@ def _requests(blocks: int):
             "block": pa.array(used, pa.int32()), "chunk": pa.array([chunk] * len(used), pa.int32()),
             "hashes": pa.array([hashes[c].tobytes() for c in cut], pa.binary()),
             "counts": pa.array([counts[c].tobytes() for c in cut], pa.binary()),
-            "bins": pa.array([bins[c].tobytes() for c in cut], pa.binary())})
+            "codes": pa.array([codes[c].tobytes() for c in cut], pa.binary())})
 
     return run
 
 
-def _count(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _count(size: Sizes):
     """For a block of tokens: counts back to every chunk (chunk >= 0), and sums and top words (chunk < 0)."""
-    sizes = [len(h) // 8 for h in rows["hashes"]]
-    hashes = np.frombuffer(b"".join(rows["hashes"]), U64)
-    counts = np.frombuffer(b"".join(rows["counts"]), np.uint32).astype(np.int64)
-    bins = np.frombuffer(b"".join(rows["bins"]), np.uint8)
-    values, index, place = np.unique(hashes, return_index=True, return_inverse=True)
-    total = np.zeros(len(values), np.int64)
-    np.add.at(total, place, counts)
-    edge = np.cumsum([0, *sizes])
-    out = [(int(c), int(rows["block"].iloc[0]), total[place[edge[k] : edge[k + 1]]].tobytes(), b"", b"")
-           for k, c in enumerate(rows["chunk"])]
-    known = total > 0
-    rest = bins[index].astype(np.int64)
-    sums = np.zeros((CLASSES * BINS, 2), np.int64)
-    np.add.at(sums, rest[known], np.stack([total[known], np.ones(known.sum(), np.int64)], 1))
-    top = np.argsort(-total, kind="stable")[:TOP]
-    top = top[total[top] > 0]
-    best = np.stack([values[top].view(np.int64), total[top], rest[top]], 1)
-    out.append((-1, int(rows["block"].iloc[0]), b"", sums.tobytes(), best.tobytes()))
-    return pd.DataFrame(out, columns=["chunk", "block", "counts", "sums", "top"])
+
+    def run(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lengths = [len(h) // 8 for h in rows["hashes"]]
+        hashes = np.frombuffer(b"".join(rows["hashes"]), U64)
+        counts = np.frombuffer(b"".join(rows["counts"]), np.uint32)
+        codes = np.frombuffer(b"".join(rows["codes"]), np.uint32)
+        values, index, place = np.unique(hashes, return_index=True, return_inverse=True)
+        total = np.bincount(place, counts, len(values)).astype(np.int64)
+        edge = np.cumsum([0, *lengths])
+        block = int(rows["block"].iloc[0])
+        out = [(int(c), block, total[place[edge[k] : edge[k + 1]]].tobytes(), b"", b"")
+               for k, c in enumerate(rows["chunk"])]
+        rest = size.rest(codes[index])
+        known = total > 0
+        sums = np.stack([rest[known], total[known], np.ones(known.sum(), np.int64)], 1)
+        top = np.argsort(-total, kind="stable")[: size.top]
+        top = top[total[top] > 0]
+        best = np.stack([values[top].view(np.int64), total[top], rest[top]], 1)
+        out.append((-1, block, b"", _summed(sums).tobytes(), best.tobytes()))
+        return pd.DataFrame(out, columns=["chunk", "block", "counts", "sums", "top"])
+
+    return run
+
+
+def _summed(rows: np.ndarray) -> np.ndarray:
+    """Rows of (bin, tokens, kinds), one per bin that occurs."""
+    bins, place = np.unique(rows[:, 0], return_inverse=True)
+    return np.stack([bins, *(np.bincount(place, rows[:, k], len(bins)).astype(np.int64) for k in (1, 2))], 1)
+
+
+def _best(rows: np.ndarray, size: Sizes) -> np.ndarray:
+    """The most frequent of rows of (word, tokens, rest bin)."""
+    return rows[np.lexsort((rows[:, 0], -rows[:, 1]))][: size.top]
 
 
 @dataclass
 class Bins:
     """Bins of the most frequent words, and sums (count, kinds) of every bin."""
 
+    size: Sizes
     words: np.ndarray
     place: np.ndarray
     sums: np.ndarray
 
-    def of(self, hashes: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    def of(self, hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        rest = self.size.rest(codes)
         if not len(self.words):
             return rest
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
@@ -225,71 +303,87 @@ class Bins:
     def within(self, counts: np.ndarray, bins: np.ndarray) -> np.ndarray:
         """log10 of a token's share of its bin: counts plus 0.1, with room for unseen tokens."""
         share = (counts + 0.1) / (self.sums[bins, 0] + 0.1 * (self.sums[bins, 1] + 1))
-        return np.where(bins < TOP, 0.0, np.log10(share))
+        return np.where(bins < self.size.top, 0.0, np.log10(share))
 
 
-def _bins(stats: list) -> tuple[Bins, int, int]:
+def _bins(stats: list, size: Sizes) -> tuple[Bins, int, int]:
     """From the block rows: bins, number of training tokens and of distinct ones."""
-    sums = np.zeros((CLASSES * BINS, 2), np.int64)
+    sums = np.zeros((size.bins, 2), np.int64)
     best = [np.zeros((0, 3), np.int64)]
     for row in stats:
-        sums += np.frombuffer(row.sums, np.int64).reshape(-1, 2)
+        own = np.frombuffer(row.sums, np.int64).reshape(-1, 3)
+        sums[own[:, 0]] += own[:, 1:]
         best.append(np.frombuffer(row.top, np.int64).reshape(-1, 3))
-    best = np.concatenate(best)
-    best = best[np.lexsort((best[:, 0], -best[:, 1]))][:TOP]
+    best = _best(np.concatenate(best), size)
     n, v = int(sums[:, 0].sum()), int(sums[:, 1].sum())
-    for _, count, rest in best:  # they leave the bins of the rest
+    for k, (_, count, rest) in enumerate(best):  # they leave the bins of the rest
         sums[rest] -= (count, 1)
-    words = best[:, 0].view(U64) if len(best) else np.zeros(0, U64)
-    place = np.arange(len(words), dtype=np.uint8)
+        sums[k] = (count, 1)
+    words = np.ascontiguousarray(best[:, 0]).view(U64)
     order = np.argsort(words)
-    return Bins(words[order], place[order], sums), n, v
+    return Bins(size, words[order], order.astype(np.int64), sums), n, v
+
+
+_CHANGE = "part int, row int, uses binary, tasks binary, squares binary, delta binary"
+
+
+def _gain(uses: np.ndarray, tasks: np.ndarray, squares: np.ndarray, settled: float) -> np.ndarray:
+    """What the mean change of a row is multiplied by, 1 to the number of tasks that used it.
+
+    Changes are added as far as tasks had few uses of the row, at the rate that falls with all tasks' squares.
+    """
+    added = np.minimum(tasks, 1 + settled / np.maximum(uses / tasks, 1))
+    return np.maximum(1, added * np.sqrt((squares / tasks + 1) / (squares + 1)))
 
 
 def _train(docs: DataFrame, bins: Bins, config: LanguageModelConfig) -> Weights:
     context = docs.sparkSession.sparkContext
-    weights = Weights(config.features)
+    weights = Weights(bins.size, bins.sums[:, 0])
     rows = docs.where(~held_out(10, 0)).select("text")
     for _ in range(config.rounds):
-        shared = context.broadcast((weights.w, weights.bias, bins))
+        shared = context.broadcast((weights, bins))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = Weights(config.features)
-            w, bias, b = shared.value
-            own.w, own.bias = w.copy(), bias.copy()
-            squares = np.zeros(config.features, np.float32)
-            seen = 0
+            start, b = shared.value
+            own = start.copy()
+            squares = [np.zeros(len(t), np.float32) for t in own.tables]
+            uses = [np.zeros(len(t), np.float32) for t in own.tables]
             for batch in batches:
                 for _, data, offsets in K.text_chunks(batch.column("text")):
-                    h, rest, begin = tokens(data, offsets)
-                    kind = b.of(h, rest)
-                    rows = _features(h, begin, config.features)
+                    h, codes, begin = tokens(data, offsets)
+                    kind = b.of(h, codes)
+                    features = _features(h, begin)
                     for s in range(0, len(h), config.batch):
-                        own.step(rows[s : s + config.batch], kind[s : s + config.batch], config.rate, squares)
-                    seen += len(h)
-            if seen:
-                flat = np.concatenate([(own.w - w).ravel(), (own.bias - bias).ravel()]) * np.float32(seen / 1e6)
-                parts = np.array_split(flat.astype(np.float32), 16)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(16), pa.int32()), pa.array([seen / 1e6] * 16),
-                     pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "seen", "delta"])
+                        own.step(features[:, s : s + config.batch], kind[s : s + config.batch], config.rate, squares, uses)
+            for part, (table, before, n, q) in enumerate(zip(own.tables, start.tables, uses, squares, strict=True)):
+                for s in range(0, len(table), _BLOCK):
+                    u = n[s : s + _BLOCK]
+                    if u.any():
+                        delta = (table[s : s + _BLOCK] - before[s : s + _BLOCK]) * u[:, None]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([part], pa.int32()), pa.array([s], pa.int32()),
+                             *(pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (u, u > 0, q[s : s + _BLOCK], delta))],
+                            names=["part", "row", "uses", "tasks", "squares", "delta"])
 
         def add(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            total = np.sum([np.frombuffer(d, np.float32) for d in rows["delta"]], axis=0, dtype=np.float64)
-            return pd.DataFrame({"part": [rows["part"].iloc[0]], "seen": [rows["seen"].sum()],
-                                 "delta": [total.astype(np.float32).tobytes()]})
-
-        # One row of fixed size per task; sums in two steps, so that no task adds up all of them.
-        schema = "part int, seen double, delta binary"
-        deltas = rows.mapInArrow(run, schema).withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(32)))
-        sums = deltas.groupBy("_g", "part").applyInPandas(lambda k, r: add(k, r.drop(columns="_g")), schema) \
-            .groupBy("part").applyInPandas(add, schema)
-        got = sorted(sums.collect(), key=lambda r: r.part)
-        if got:
-            flat = np.concatenate([np.frombuffer(r.delta, np.float32) / max(r.seen, 1e-9) for r in got])
-            size = weights.w.size
-            weights.w = weights.w + flat[:size].reshape(weights.w.shape)
-            weights.bias = weights.bias + flat[size:].reshape(weights.bias.shape)
+            out = rows[["part", "row"]].iloc[:1].reset_index(drop=True)
+            for name in ("uses", "tasks", "squares", "delta"):
+                total = np.zeros(len(rows[name].iloc[0]) // 4)
+                for x in rows[name]:
+                    total += np.frombuffer(x, np.float32)
+                out[name] = [total.astype(np.float32).tobytes()]
+            return out
+
+        # Sums in two steps, so that no task adds up the changes of all others.
+        changes = rows.mapInArrow(run, _CHANGE).withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(32)))
+        sums = changes.groupBy("_g", "part", "row").applyInPandas(lambda k, r: add(k, r.drop(columns="_g")), _CHANGE) \
+            .groupBy("part", "row").applyInPandas(add, _CHANGE)
+        for r in sums.collect():
+            uses, tasks, squares, delta = (np.frombuffer(x, np.float32) for x in (r.uses, r.tasks, r.squares, r.delta))
+            mean = delta.reshape(len(uses), -1) / np.maximum(uses, 1)[:, None]
+            if r.part < 2:
+                mean *= _gain(uses, np.maximum(tasks, 1), squares, config.settled)[:, None]
+            weights.tables[r.part][r.row : r.row + len(uses)] += mean
         shared.unpersist()
     return weights
 
@@ -301,11 +395,11 @@ def score(docs: DataFrame, config: LanguageModelConfig | None = None) -> DataFra
     docs = docs.select("doc_id", "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // config.chunk_bytes))
+    size = sizes(total, config)
     rows = _chunked(docs, chunks)
     counted = written(rows.groupBy("chunk").applyInArrow(_requests(chunks), _REQUEST).groupBy("block").applyInPandas(
-        _count, "chunk int, block int, counts binary, sums binary, top binary"), "counts")
-    # One row of fixed size per block; a block stands for ``chunk_bytes`` of text.
-    bins, n, v = _bins(_merged(counted.where("chunk < 0").select("sums", "top")))
+        _count(size), "chunk int, block int, counts binary, sums binary, top binary"), "counts")
+    bins, n, v = _bins(_merged(counted.where("chunk < 0").select("sums", "top"), size), size)
     weights = _train(docs, bins, config)
     shared = docs.sparkSession.sparkContext.broadcast((weights, bins))
     denominator = n + 0.1 * (v + 1)
@@ -320,11 +414,11 @@ def score(docs: DataFrame, config: LanguageModelConfig | None = None) -> DataFra
         parts = [(at, *tokens(data, offsets)) for at, data, offsets in K.text_chunks(column)]
         order = np.unique(np.concatenate([np.unique(p[1]) for p in parts])) if parts else np.zeros(0, U64)
         n_tokens, n_known, base, full = [], [], [], []
-        for _, h, rest, begin in parts:
+        for _, h, codes, begin in parts:
             c = known[np.searchsorted(order, h)]
-            kind = b.of(h, rest)
+            kind = b.of(h, codes)
             low = np.log10((c + 0.1) / denominator)
-            high = model.log10(_features(h, begin, config.features), kind) + b.within(c, kind)
+            high = model.log10(_features(h, begin), kind) + b.within(c, kind)
             n_tokens.append(np.diff(begin))
             n_known.append(np.add.reduceat((c > 0).astype(np.int64), begin[:-1]))
             base.append(np.add.reduceat(low, begin[:-1]))
@@ -340,14 +434,13 @@ def score(docs: DataFrame, config: LanguageModelConfig | None = None) -> DataFra
                       F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _merged(stats: DataFrame) -> list:
+def _merged(stats: DataFrame, size: Sizes) -> list:
     """The block rows, combined on the executors to at most 64."""
 
     def run(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        sums = np.sum([np.frombuffer(s, np.int64) for s in rows["sums"]], axis=0, dtype=np.int64)
+        sums = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 3) for s in rows["sums"]])
         best = np.concatenate([np.frombuffer(t, np.int64).reshape(-1, 3) for t in rows["top"]])
-        best = best[np.lexsort((best[:, 0], -best[:, 1]))][:TOP]
-        return pd.DataFrame({"sums": [sums.tobytes()], "top": [best.tobytes()]})
+        return pd.DataFrame({"sums": [_summed(sums).tobytes()], "top": [_best(best, size).tobytes()]})
 
     return stats.withColumn("_g", F.pmod(F.xxhash64("top"), F.lit(64))).groupBy("_g").applyInPandas(
         lambda k, r: run(k, r.drop(columns="_g")), "sums binary, top binary").collect()

@@ -116,24 +116,66 @@ def test_base_scores_equal_plain_counts(spark, chunk):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9) and a[6] < 0
 
 
-def test_model_beats_the_base_on_an_open_vocabulary(spark):
-    """Most words are rare and their endings tell what follows; on small closed vocabularies the gain is not sure."""
+def endings(count):
+    """Most words are rare and their endings tell what follows."""
     pick = random.Random(2)
-    rows = []
-    for i in range(600):
+    for i in range(count):
         parts = PARTS[pick.choice(list(PARTS))]
-        rows.append((i, " ".join("".join(pick.choice(parts) for _ in range(pick.randint(2, 5))) for _ in range(30))))
-    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)  # too little to mix several tasks
-    config = lm_scoring.LanguageModelConfig(rounds=2, batch=64)
-    held = [r for r in lm_scoring.score(df, config).collect() if r.held_out]
+        yield i, " ".join("".join(pick.choice(parts) for _ in range(pick.randint(2, 5))) for _ in range(30))
+
+
+@pytest.mark.parametrize("tasks", [1, 32])
+def test_model_beats_the_base_whatever_the_number_of_tasks(spark, tasks):
+    df = spark.createDataFrame(list(endings(2000)), "doc_id long, text string").repartition(tasks, "doc_id")
+    held = [r for r in lm_scoring.score(df).collect() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_model_grows_with_the_input():
+    config = lm_scoring.LanguageModelConfig()
+    small, large = lm_scoring.sizes(10**8, config), lm_scoring.sizes(3 * 10**10, config)
+    assert (small.side, small.bits) == (16, 14) and large.side == 33 and large.top > 4 * small.top and large.bits == 17
+
+
 def test_class_and_bin_probabilities_sum_to_one():
-    w = lm_scoring.Weights(64)
-    w.w[:] = np.random.default_rng(0).normal(size=w.w.shape)
-    p, q = w.scores(np.array([[1, 2, 3]]), np.array([5]))
-    assert p.sum() == pytest.approx(1, abs=1e-5) and q.sum() == pytest.approx(1, abs=1e-5)
+    size = lm_scoring.Sizes(5, 6)
+    w = lm_scoring.Weights(size)
+    pick = np.random.default_rng(0)
+    for t in w.tables:
+        t[:] = pick.normal(size=t.shape)
+    features = pick.integers(0, 1 << 63, (lm_scoring.KINDS, 1)).astype(np.uint64)
+    total = sum(10 ** w.log10(features, np.array([b]))[0] for b in range(size.bins))
+    assert total == pytest.approx(1, abs=1e-5)
+
+
+def test_weights_without_steps_are_the_counted_bins():
+    size = lm_scoring.Sizes(4, 6)
+    counts = np.arange(16) * 1000
+    w = lm_scoring.Weights(size, counts)
+    got = w.log10(np.zeros((lm_scoring.KINDS, 16), np.uint64), np.arange(16))
+    assert got[1:] == pytest.approx(np.log10(counts[1:] / counts.sum()), abs=1e-3)
+
+
+def test_gradients_of_the_language_model():
+    size = lm_scoring.Sizes(3, 6)
+    w = lm_scoring.Weights(size)
+    pick = np.random.default_rng(1)
+    for t in w.tables:
+        t[:] = pick.normal(size=t.shape)
+    features = pick.integers(0, 1 << 63, (lm_scoring.KINDS, 5)).astype(np.uint64)
+    bins = np.array([0, 4, 8, 4, 2])
+    before, old = -w.log10(features, bins).mean(), w.copy()
+    squares = [np.zeros(len(t), np.float32) for t in w.tables]
+    w.step(features, bins, 1e-3, squares, [np.zeros(len(t), np.float32) for t in w.tables])
+    assert -w.log10(features, bins).mean() < before
+    for k, row in ((0, w.rows(features, bins // 3)[0][0, 0]), (1, w.rows(features, bins // 3)[1][0, 0])):
+        grad = (old.tables[k][row] - w.tables[k][row]) / 1e-3 * np.sqrt(squares[k][row] + 1)
+        near = old.copy()
+        at = np.abs(grad).argmax()
+        near.tables[k][row, at] += 1e-2
+        up = -near.log10(features, bins).sum() * math.log(10)
+        near.tables[k][row, at] -= 2e-2
+        assert (up + near.log10(features, bins).sum() * math.log(10)) / 2e-2 == pytest.approx(grad[at], abs=2e-2)
 
 
 def test_language_model_of_an_empty_table(spark):

@@ -123,8 +123,10 @@ def _features(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    return x / x.sum(1, keepdims=True)
+    """In place. Scores stay within 60 of zero, so no row's maximum is needed against overflow."""
+    np.exp(np.clip(x, -60, 60, out=x), out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+    return x
 
 
 class Weights:
@@ -135,8 +137,10 @@ class Weights:
         self.size = size
         rows, side = 1 << size.bits, size.side
         known = np.full((side, side), 0.5) if counts is None else counts.reshape(side, side) + 0.5
+        known /= known.sum()
         self.tables = [np.zeros((rows, side), np.float32), np.zeros((rows, side), np.float32),
-                       np.log(known.sum(1)).astype(np.float32)[None], np.log(known).astype(np.float32)]
+                       np.log(known.sum(1)).astype(np.float32)[None],
+                       np.log(known / known.sum(1, keepdims=True)).astype(np.float32)]
 
     def copy(self) -> Weights:
         out = Weights.__new__(Weights)
@@ -151,10 +155,11 @@ class Weights:
 
     def scores(self, rows: tuple[np.ndarray, np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of the classes, and of the bins of the given classes."""
-        x, y = self.tables[2], self.tables[3][classes]
+        x = np.repeat(self.tables[2], len(classes), 0)
+        y = self.tables[3].take(classes, 0)
         for k in range(KINDS):
-            x = x + self.tables[0][rows[0][k]]
-            y = y + self.tables[1][rows[1][k]]
+            x += self.tables[0].take(rows[0][k], 0)
+            y += self.tables[1].take(rows[1][k], 0)
         return _softmax(x), _softmax(y)
 
     def log10(self, features: np.ndarray, bins: np.ndarray) -> np.ndarray:
@@ -178,9 +183,12 @@ class Weights:
         for table, g in enumerate((p, q)):
             for k in range(KINDS):
                 row, total, n = _by_row(rows[table][k], g)
-                squares[table][row] += (total**2).mean(1)
+                seen = squares[table].take(row) + np.einsum("ij,ij->i", total, total) / np.float32(self.size.side)
+                squares[table][row] = seen
                 uses[table][row] += n
-                self.tables[table][row] -= rate * total / np.sqrt(squares[table][row] + 1)[:, None]
+                total *= (-rate / np.sqrt(seen + 1))[:, None]
+                total += self.tables[table].take(row, 0)
+                self.tables[table][row] = total
         self.tables[2] -= rate * p.mean(0)
         uses[2] += len(c)
         row, total, n = _by_row(c, q)
@@ -194,7 +202,7 @@ def _by_row(row: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     key = np.sort((row << bits) | np.arange(len(row)))  # sorts rows and keeps the order within a row
     row, order = key >> bits, key & ((1 << bits) - 1)
     new = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    return row[new], np.add.reduceat(g[order], new, axis=0), np.diff(np.append(new, len(row))).astype(np.float32)
+    return row[new], np.add.reduceat(g.take(order, 0), new, axis=0), np.diff(np.append(new, len(row))).astype(np.float32)
 
 
 def _chunked(docs: DataFrame, chunks: int) -> DataFrame:

@@ -21,6 +21,8 @@ class MatchConfig:
     #: From 200 characters of the register name on, leave out characters that make up more than a hundredth
     #: of it, as difflib does by default.
     popularity_heuristic: bool = False
+    #: "half_up" rounds the decimal form of a score, "half_even" its exact binary value, as Python's round does.
+    rounding: str = "half_up"
 
     # Blocking.
     prefix_length: int = 4
@@ -48,6 +50,8 @@ class MatchConfig:
     def __post_init__(self) -> None:
         if self.similarity not in ("sequence", "levenshtein"):
             raise ValueError(f"unknown similarity: {self.similarity!r}")
+        if self.rounding not in ("half_up", "half_even"):
+            raise ValueError(f"unknown rounding: {self.rounding!r}")
         if self.prefix_length < 1 or self.cell_rows < 1 or self.review_depth < 1:
             raise ValueError("prefix_length, cell_rows and review_depth must be positive")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namebridge.config import MatchConfig
+from namebridge.functions.rounding import rounded
 from namebridge.functions.similarity import (
     address_score,
     field_match_score,
@@ -60,7 +61,7 @@ def score_by_name(config: MatchConfig) -> Column:
         + ADDRESS_WEIGHT * F.col("address_score")
     )
     bonus = F.when(F.col("candidate_method") == NAME_COUNTRY_BLOCK, F.lit(config.country_bonus)).otherwise(F.lit(0.0))
-    return F.round(F.least(total + bonus, F.lit(config.score_cap)), 4)
+    return rounded(F.least(total + bonus, F.lit(config.score_cap)), config)
 
 
 def match_score(config: MatchConfig) -> Column:
@@ -72,7 +73,7 @@ def match_score(config: MatchConfig) -> Column:
     )
     return (
         F.when(same_lei(), F.lit(config.lei_score))
-        .when(same_registration(), F.round(by_registration, 4))
+        .when(same_registration(), rounded(by_registration, config))
         .otherwise(score_by_name(config))
     )
 

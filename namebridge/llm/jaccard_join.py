@@ -141,7 +141,7 @@ def _profiles(rows: DataFrame, config: JoinConfig) -> DataFrame:
             merged = merged[0][keep], merged[1][keep]
         return merged
 
-    return rows.mapInArrow(run, "kind int, doc_id long, handle long, n long, k1 long, k2 long")
+    return rows.mapInArrow(K.tidy(run), "kind int, doc_id long, handle long, n long, k1 long, k2 long")
 
 
 def least_shared(n: int, percent: int = 75) -> int:
@@ -225,7 +225,7 @@ def _prefixes(rows: DataFrame, frequent, buckets: int, config: JoinConfig) -> Da
         if size:
             yield emit(flush, parts, facts)
 
-    return rows.mapInArrow(run, _DEALT)
+    return rows.mapInArrow(K.tidy(run), _DEALT)
 
 
 def _counted(a: np.ndarray, b: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
@@ -499,7 +499,7 @@ def _split_large(large: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataF
                        ("shingles", pa.binary()), ("home", pa.int32()), ("window", pa.list_(pa.int32())),
                        ("mask", pa.int64()), ("links", pa.list_(pair))])
     placed = written(large.join(chosen, "region").select("region", "k1", "k2", "n", "shingles", "pivots")
-                     .mapInArrow(run, schema), "placed")
+                     .mapInArrow(K.tidy(run), schema), "placed")
 
     # Pivots that a member links with are one component; the largest by members is the core.
     def cores(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -597,7 +597,7 @@ def _with_sets(rows: DataFrame, config: JoinConfig) -> DataFrame:
                     [pa.array(a[new]), pa.array(b[new]), pa.array(n[new]),
                      pa.array([sets[i].tobytes() for i in new], pa.binary())], names=["k1", "k2", "n", "shingles"])
 
-    return rows.mapInArrow(run, "k1 long, k2 long, n long, shingles binary")
+    return rows.mapInArrow(K.tidy(run), "k1 long, k2 long, n long, shingles binary")
 
 
 def _grouped(profiles: DataFrame, roots: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,33 @@ _POW = _powers(_PIECE + 1, int(_BASE) | 1)
 _INV = _powers(_PIECE + 1, pow(int(_BASE) | 1, -1, 1 << 64))
 
 
+def release() -> None:
+    """Gives memory that is free, but kept by the allocators, back to the system: Spark keeps workers between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable, limit: int = 1 << 23) -> Callable:
+    """A function of batches that releases memory after large batches and at the end of its task."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            held = 0
+            for batch in run(batches):
+                held += batch.nbytes
+                yield batch
+                del batch
+                if held > limit:
+                    release()
+                    held = 0
+        finally:
+            release()
+
+    return inner
+
+
 def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows with about ``limit`` bytes; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

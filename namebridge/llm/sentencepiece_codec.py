@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from namebridge.llm import kernels as K
 from namebridge.llm.stages import documents, small_batches
 
 MARK = "▁"
@@ -250,7 +251,7 @@ def encode(docs: DataFrame, path: str = MODEL, ids: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 at += len(group)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(K.tidy(run), schema)
 
 
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -265,7 +266,7 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             texts = c.decode([r or [] for r in batch.column("token_ids").to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(K.tidy(run), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -154,7 +154,7 @@ def _keyed(rows: DataFrame, config: DedupConfig) -> DataFrame:
                 yield out.filter(pa.array(per > 0))
 
     return rows.mapInArrow(
-        run, "h long, c long, parts array<struct<s: int, l: int, key: long, content: long, twice: boolean>>")
+        K.tidy(run), "h long, c long, parts array<struct<s: int, l: int, key: long, content: long, twice: boolean>>")
 
 
 def smaller_than_next(text: np.ndarray) -> np.ndarray:
@@ -311,6 +311,8 @@ def _sort_bucket(config: DedupConfig):
         marked[neighbours_alike(text, order, config.length)] = True
         runs = _runs(begin, marked)
         out = pd.DataFrame({"key": rows["key"].to_numpy(), "content": rows["content"].to_numpy(), "runs": runs})
+        del text, wanted, order, marked, parts
+        K.release()
         return out[[bool(r) for r in runs]]
 
     return run
@@ -336,7 +338,7 @@ def _hot_strings(rows: DataFrame, config: DedupConfig) -> DataFrame:
                      pa.array(y.view(np.int64))], names=["key", "content", "o", "x", "y"])
 
     strings = rows.dropDuplicates(["key", "content"]).mapInArrow(
-        run, "key long, content long, o int, x long, y long")
+        K.tidy(run), "key long, content long, o int, x long, y long")
     strings = written(strings, "strings")
     often = strings.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1").select("x", "y")
     return strings.join(often, ["x", "y"]).groupBy("key", "content").agg(
@@ -375,7 +377,7 @@ def repeated(docs: DataFrame, config: DedupConfig | None = None) -> DataFrame:
                 [("key", pa.int64()), ("content", pa.int64()), ("kinds", pa.int64()), ("bytes", pa.binary())]))
 
     cuts = written(rows.join(wanted, ["h", "c"]).select("text", "parts").mapInArrow(
-        cut, "key long, content long, kinds long, bytes binary"), "cuts")
+        K.tidy(cut), "key long, content long, kinds long, bytes binary"), "cuts")
     normal = cuts.where(F.col("kinds") <= config.hot)
     total = normal.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     tasks = -(-total // config.task_bytes)
@@ -465,7 +467,7 @@ def dedup(docs: DataFrame, config: DedupConfig | None = None, whole_characters:
                 columns.append(pa.array(rest, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(K.tidy(run), schema)
 
 
 def _inner(data: bytes, a: int, b: int) -> tuple[int, int]:

@@ -46,11 +46,11 @@ UNITS = ("km", "m", "cm", "mm", "mi", "miles?", "feet", "ft", "inch(?:es)?", "kg
 # The patterns look back from a match's first character, so that most positions fail at one comparison.
 _NUMBER = r"[0-9](?<![\p{L}\p{N}][0-9])[0-9]*(?:[.,]+[0-9]+)*"
 _UNIT = r"(?i)(?<=\x01d\x02|[0-9]\x02)(\s?)(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])"
-#: A capital after something other than the end of a sentence.
-_NAME = r"\p{Lu}(?<=[^.!?:\s]\s\p{Lu})\p{Ll}\p{L}*"
-#: Any other capital: a name or the first word of a sentence.
-_START = r"\p{Lu}(?<![\p{L}\p{N}]\p{Lu})\p{Ll}\p{L}*"
-_TOKEN = r"\x01[^\x02]*\x02|[\p{L}\p{N}]+"
+#: A capitalised word. Group 1: the blank before it, if that follows something other than the end of a sentence (a name).
+#: Otherwise it is a name or the first word of a sentence.
+#: Nothing behind the group can fail: Java keeps a group of a failed attempt.
+_CAPITAL = r"\p{Lu}(?<![\p{L}\p{N}]\p{Lu})\p{Ll}(?:(?<=[^.!?:\s](\s)\p{Lu}\p{Ll})|)\p{L}*"
+_TOKEN = r"[a-z0-9\p{L}\p{N}]+|\x01[^\x02]*\x02"
 
 
 def _lit(pattern: str) -> str:
@@ -60,13 +60,17 @@ def _lit(pattern: str) -> str:
 def tokens(text: Column, values: bool) -> Column:
     """The words of a text, placeholders as \\x01 kind [value] \\x02. Kind s, always with its value, is a word or a name."""
     keep = "$0" if values else ""
-    t = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "  ") if values else F.coalesce(text, F.lit(""))
-    t = F.regexp_replace(t, _NAME, f"\x01n{keep}\x02")
-    t = F.regexp_replace(t, _START, "\x01s$0\x02")
+    t = F.coalesce(text, F.lit(""))
+    marks = t.contains("\x01") | t.contains("\x02")
+    t = F.when(marks, F.translate(t, "\x01\x02", "  ")).otherwise(t)
+    t = F.regexp_replace(t, _CAPITAL, "\x01$1s$0\x02")
     # A unit only counts after a number, so a text without a digit needs neither pass.
     numbers = F.regexp_replace(t, _NUMBER, f" \x01d{keep}\x02")
     units = F.regexp_replace(numbers, _UNIT, f"$1\x01u{'$2' if values else ''}\x02")
-    return F.regexp_extract_all(F.lower(F.when(text.rlike("[0-9]"), units).otherwise(t)), F.lit(_TOKEN), F.lit(0))
+    found = F.regexp_extract_all(F.lower(F.when(text.rlike("[0-9]"), units).otherwise(t)), F.lit(_TOKEN), F.lit(0))
+    name = (lambda x: F.concat(F.lit("\x01n"), F.substring(x, 4, 1 << 30))) if values else (lambda x: F.lit("\x01n\x02"))
+    return F.transform(found, lambda x: F.when(
+        x.startswith("\x01") & ~F.substring(x, 2, 1).isin("d", "s", "u"), name(x)).otherwise(x))
 
 
 def plain(words: str) -> str:
@@ -160,7 +164,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None
         .withColumn("q", _place("at", "size", config)).select("item", "q", F.expr("iw[q]").alias("c"), "w")
     keys = _sized(places.select("w").distinct(), config.broadcast_rows)
     rows = _keyed(docs)
-    words = rows.select("doc_id", "h", "size", tokens(F.translate("text", "\x01\x02", "  "), False).alias("words"))
+    words = rows.select("doc_id", "h", "size", tokens(F.col("text"), False).alias("words"))
     found = words.select("doc_id", "h", "size", F.size("words").alias("n"), F.posexplode(windows("words", config)).alias("at", "w")) \
         .where("w is not null").join(keys, "w").withColumn("p", _place("at", "n", config))
     found = written(found.select("doc_id", "h", "size", "p", "w").distinct(), "windows")

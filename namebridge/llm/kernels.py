@@ -46,10 +46,26 @@ def release() -> None:
         trim(0)
 
 
-def tidy(run: Callable, limit: int = 1 << 23) -> Callable:
-    """A function of batches that releases memory after large batches and at the end of its task."""
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What a worker keeps from task to task; one such thing at a time."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def tidy(run: Callable, limit: int = 1 << 23, keeps: bool = False) -> Callable:
+    """A function of batches that releases memory after large batches and at the end of its task.
+
+    Unless it ``keeps`` something itself, it drops what tasks of another kind have left in the worker.
+    """
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            _KEPT.clear()
         try:
             held = 0
             for batch in run(batches):

@@ -16,7 +16,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ MARK = "▁"
 #: The model that the query uses; any path may be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Distinct parts kept by a worker before it starts anew. Only a memory bound: results do not depend on it.
-MEMO = 400_000
+MEMO = 200_000
 
 # Numbers of the model file's fields and kinds.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -157,14 +156,18 @@ class Codec:
         self.tokenizer = build(self.model)
         self.normalise = normaliser(self.model)
         self.cut = safe_to_cut(self.model)
-        self.memo: dict[str, tuple[np.ndarray, bool]] = {}
+        #: Ids of each part, and the parts that decoding does not give back.
+        self.memo: dict[str, bytes] = {}
+        self.lost: set[str] = set()
 
     def _learn(self, parts: list[str]) -> None:
         encoded = self.tokenizer.encode_batch(parts, add_special_tokens=False)
         ids = [e.ids for e in encoded]
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
         for part, i, b in zip(parts, ids, back, strict=True):
-            self.memo[part] = np.array(i, np.int32), b == part.replace(MARK, " ")
+            self.memo[part] = np.array(i, np.int32).tobytes()
+            if b != part.replace(MARK, " "):
+                self.lost.add(part)
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool]]:
         """Ids of each text, and whether decoding them gives the normalised text back."""
@@ -175,15 +178,16 @@ class Codec:
         new = {p for parts in split for p in parts} - self.memo.keys()
         if len(self.memo) + len(new) > MEMO:
             self.memo.clear()
+            self.lost.clear()
             new = {p for parts in split for p in parts}
-        if new:
-            self._learn(sorted(new))
+        missing = sorted(new)
+        for at in range(0, len(missing), 1 << 13):  # encodings are large
+            self._learn(missing[at : at + (1 << 13)])
         out = []
         memo = self.memo
         for parts in split:
-            got = [memo[p] for p in parts]
-            ids = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.int32)
-            out.append((ids, all(g[1] for g in got)))
+            ids = np.frombuffer(b"".join([memo[p] for p in parts]), np.int32)
+            out.append((ids, not self.lost or self.lost.isdisjoint(parts)))
         return out
 
     def decode(self, rows: list[list[int]]) -> list[str]:
@@ -191,9 +195,8 @@ class Codec:
         return [t[1:] if self.model["prefix"] and t.startswith(" ") else t for t in texts]
 
 
-@lru_cache(maxsize=2)
 def codec(data: bytes) -> Codec:
-    return Codec(data)
+    return K.kept(data, lambda: Codec(data))
 
 
 def model_bytes(path: str = MODEL) -> bytes:
@@ -251,7 +254,7 @@ def encode(docs: DataFrame, path: str = MODEL, ids: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 at += len(group)
 
-    return kept.mapInArrow(K.tidy(run), schema)
+    return kept.mapInArrow(K.tidy(run, keeps=True), schema)
 
 
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -266,7 +269,7 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             texts = c.decode([r or [] for r in batch.column("token_ids").to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return kept.mapInArrow(K.tidy(run), schema)
+    return kept.mapInArrow(K.tidy(run, keeps=True), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

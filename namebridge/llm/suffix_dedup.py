@@ -44,7 +44,7 @@ class DedupConfig:
     #: Bytes of a repeated string; 128 to 208.
     length: int = 200
     #: Bytes of stretches in one sorting task.
-    task_bytes: int = 2_500_000
+    task_bytes: int = 1_000_000
     #: Stretches of one key above which the key is split by content.
     hot: int = 4_000
     #: Longer texts are keyed in pieces of so many bytes, which bounds memory.

@@ -3,12 +3,14 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from namebridge.config import MatchConfig
 from namebridge.functions.name_cells import common_subsequences, edit_distances
-from namebridge.operators.best_candidates import compared_by_index
-from namebridge.operators.candidates import client_side
+from namebridge.operators.best_candidates import band_counts, compared_by_index
+from namebridge.operators.candidates import client_side, generate_candidates
 from namebridge.operators.register_index import RegisterIndex, with_profile
+from namebridge.operators.scoring import score_candidates
 from tests.test_ranking import random_clients_and_reference
 
 
@@ -41,6 +43,15 @@ def test_distances_of_all_lengths(letters, longest):
     assert common_subsequences(left, right).tolist() == [[plain_subsequence(a, b) for b in right] for a in left]
 
 
+def test_bands_are_counted_without_the_pair_table(spark, rows):
+    left, right = random_clients_and_reference(spark)
+    config = MatchConfig(similarity="levenshtein")
+    scored = score_candidates(generate_candidates(left, right, config), config)
+    expected = scored.groupBy("candidate_method", "confidence_band").agg(F.count("*").alias("n"))
+    counted = band_counts(left, right, config, RegisterIndex.scratch(right, config))
+    assert rows(counted) == rows(expected)
+
+
 def test_few_pairs_leave_their_cell(spark):
     """Before, each pair of profiles left its comparison and was sorted by score."""
     left, right = random_clients_and_reference(spark)

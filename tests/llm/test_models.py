@@ -180,3 +180,19 @@ def test_gradients_of_the_language_model():
 
 def test_language_model_of_an_empty_table(spark):
     assert lm_scoring.score(table(spark, [])).collect() == []
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only some rows of one class hold is learned, and gets its weight, however many rows there are."""
+    docs = spark.createDataFrame([(i, f"plain text {'vileword' if i % 4 == 0 else 'word'} w{i}") for i in range(400)],
+                                 "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 4 = 0 as int) as toxic")
+    rows = toxicity.training_rows(docs, labels)
+    assert rows.count() == labels.where(~toxicity.held_out(5, 0)).count()
+    config = toxicity.ToxicityConfig(rows_per_task=30)
+    model = toxicity.train(docs, labels, config)
+    got = toxicity.score(docs, model).collect()
+    assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in got) >= 0.95 * len(got)
+    again = toxicity.train(docs.repartition(3), labels, config)
+    assert all(np.array_equal(a, b) for a, b in zip(model.tables, again.tables, strict=True))
+    assert again.thresholds == pytest.approx(model.thresholds, abs=0.01)

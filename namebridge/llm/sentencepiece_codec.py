@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 import zlib
 from collections.abc import Iterator
 
@@ -28,8 +29,9 @@ from namebridge.llm.stages import documents, small_batches
 MARK = "▁"
 #: The model that the query uses; any path may be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Distinct parts kept by a worker before it starts anew. Only a memory bound: results do not depend on it.
-MEMO = 200_000
+#: Distinct parts in the younger half of a worker's memo; when it is full, it becomes the older half. Only a memory
+#: bound: results do not depend on it.
+MEMO = 150_000
 
 # Numbers of the model file's fields and kinds.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -156,18 +158,42 @@ class Codec:
         self.tokenizer = build(self.model)
         self.normalise = normaliser(self.model)
         self.cut = safe_to_cut(self.model)
-        #: Ids of each part, and the parts that decoding does not give back.
+        #: Ids of each part, by halves, and the parts that decoding does not give back.
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.lost: set[str] = set()
+        #: What the library decodes each piece to; none for pieces whose neighbours matter, or that are no plain text.
+        alone = [[i] for i in range(len(self.model["pieces"]))]
+        self.texts = [
+            text if kind == NORMAL and not piece.startswith("<0x") else None
+            for text, (piece, _, kind) in zip(
+                self.tokenizer.decode_batch(alone, skip_special_tokens=False), self.model["pieces"], strict=True)]
 
     def _learn(self, parts: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        for part, i, b in zip(parts, ids, back, strict=True):
-            self.memo[part] = np.array(i, np.int32).tobytes()
-            if b != part.replace(MARK, " "):
-                self.lost.add(part)
+        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        texts, memo, open_ = self.texts, self.memo, []
+        for part, e in zip(parts, encoded, strict=True):
+            ids = e.ids
+            memo[part] = array("i", ids).tobytes()
+            try:
+                if "".join([texts[i] for i in ids]) != part.replace(MARK, " "):
+                    self.lost.add(part)
+            except TypeError:  # bytes and unknown characters are decoded together
+                open_.append((part, ids))
+        back = self.tokenizer.decode_batch([ids for _, ids in open_], skip_special_tokens=False)
+        self.lost.update(part for (part, _), b in zip(open_, back, strict=True) if b != part.replace(MARK, " "))
+
+    def _remember(self, wanted: set[str]) -> None:
+        """All wanted parts are in the younger half then."""
+        new = wanted - self.memo.keys()
+        if len(self.memo) + len(new) > MEMO:
+            self.older, self.memo, new = self.memo, {}, wanted
+            self.lost.intersection_update(self.older)
+        known = new & self.older.keys()
+        self.memo.update((p, self.older[p]) for p in known)
+        missing = list(new - known)
+        for at in range(0, len(missing), 1 << 13):  # encodings are large
+            self._learn(missing[at : at + (1 << 13)])
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool]]:
         """Ids of each text, and whether decoding them gives the normalised text back."""
@@ -175,14 +201,7 @@ class Codec:
         for text in texts:
             marked = self.normalise(text or "")
             split.append((_PART.findall(marked) if self.cut else [marked]) if marked else [])
-        new = {p for parts in split for p in parts} - self.memo.keys()
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            self.lost.clear()
-            new = {p for parts in split for p in parts}
-        missing = sorted(new)
-        for at in range(0, len(missing), 1 << 13):  # encodings are large
-            self._learn(missing[at : at + (1 << 13)])
+        self._remember(set().union(*split))
         out = []
         memo = self.memo
         for parts in split:

@@ -45,6 +45,21 @@ def test_parity_with_the_reference_library():
     assert [codec.decode([ids.tolist()])[0] for ids, _ in codec.encode(TEXTS)] == TEXTS
 
 
+@needs_model
+def test_memo_keeps_recent_parts(monkeypatch):
+    """A full memo keeps what the last texts held; ids and round trips do not depend on its size."""
+    monkeypatch.setattr(S, "MEMO", 4)
+    codec, learnt = S.Codec(S.model_bytes()), []
+    learn = codec._learn
+    monkeypatch.setattr(codec, "_learn", lambda parts: (learnt.extend(parts), learn(parts)))
+    texts = ["one two é\U0001F600", "one three", "one four five", "\U0001F600 <0x41> one", "two"]
+    got = [(ids.tolist(), whole) for ids, whole in (codec.encode([t])[0] for t in texts)]
+    assert learnt.count("▁one") == 1
+    monkeypatch.undo()
+    assert got == [(ids.tolist(), whole) for ids, whole in S.Codec(S.model_bytes()).encode(texts)]
+    assert all(whole for _, whole in got) and [codec.decode([ids])[0] for ids, _ in got] == texts
+
+
 @needs_model
 def test_encode_and_decode_tables(spark):
     encoded = S.encode(clashing(table(spark)))

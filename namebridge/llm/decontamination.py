@@ -112,6 +112,34 @@ def windows(words: str, config: TemplateConfig) -> Column:
         else transform(array({as_word}), a -> {_chained("a", n)})[0] end""")
 
 
+def parts(words: str, config: TemplateConfig, step: int) -> Column:
+    """Hashes of half windows of an array of template words, at every ``step``-th place.
+
+    As with ``windows``, words of kind s are all words, then all names. Equal windows have equal halves at all places, and each
+    window holds one that starts at a multiple of ``part_step``: a text without an item's half has no window of an item.
+    """
+    n, half = config.window, _half(config)
+    as_word = f"transform({words}, x -> if(startswith(x, '\x01s'), {value('x')}, x))"
+    as_name = f"transform({words}, x -> if(startswith(x, '\x01s'), '\x01n\x02', x))"
+
+    def hashes(form: str) -> str:
+        run = ", ".join(f"p[i + {k}]" for k in range(half))
+        return f"transform(array({form}), p -> transform(sequence(0, size({words}) - {half}, {step}), i -> xxhash64({run})))[0]"
+
+    return F.expr(f"""
+        case when size({words}) < {n} then cast(array() as array<bigint>)
+        when exists({words}, x -> startswith(x, '\x01s')) then concat({hashes(as_word)}, {hashes(as_name)})
+        else {hashes(words)} end""")
+
+
+def _half(config: TemplateConfig) -> int:
+    return max(1, config.window // 2)
+
+
+def part_step(config: TemplateConfig) -> int:
+    return config.window - _half(config) + 1
+
+
 def _literal(hashes: str, words: str, config: TemplateConfig) -> Column:
     """``windows`` with null for those with too few literals. A text's windows need no such test to meet an item's."""
     n = config.window
@@ -146,7 +174,7 @@ def _items(benchmark: DataFrame, config: TemplateConfig) -> DataFrame:
     t = t.withColumn("iw", windows("it", config)).withColumn("iw", _literal("iw", "it", config))
     t = t.withColumn("total", F.expr(
         f"size(array_distinct(filter(slice(iw, 1, greatest(0, size(it) - {config.window - 1})), x -> x is not null)))"))
-    t = t.where("total > 0")
+    t = t.where("total > 0").withColumn("ip", parts("it", config, 1))
     return written(t.drop("it"), "items")
 
 
@@ -155,6 +183,15 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("doc_id", text).alias("h"), F.octet_length(text).alias("size"), "text")
 
 
+def _candidates(rows: DataFrame, items: DataFrame, config: TemplateConfig) -> DataFrame:
+    """The rows that hold half a window of an item: all others have no window of one."""
+    keys = _sized(items.select(F.explode("ip").alias("w")).distinct(), config.broadcast_rows)
+    words = rows.select("h", "size", tokens(F.col("text"), False).alias("words"))
+    near = words.select("h", "size", F.explode(parts("words", config, part_step(config))).alias("w")).join(keys, "w")
+    near = written(near.select("h", "size").distinct(), "near")
+    return written(rows.join(_sized(near, config.broadcast_rows), ["h", "size"]), "candidates")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None = None) -> DataFrame:
     """h, size (which name a text and its id), doc_id, item_id, n_windows, total_windows, exact of all leaks."""
     config = config or TemplateConfig()
@@ -163,7 +200,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, config: TemplateConfig | None
     places = items.select("item", "iw", F.size("iv").alias("size"), F.posexplode("iw").alias("at", "w")).where("w is not null") \
         .withColumn("q", _place("at", "size", config)).select("item", "q", F.expr("iw[q]").alias("c"), "w")
     keys = _sized(places.select("w").distinct(), config.broadcast_rows)
-    rows = _keyed(docs)
+    rows = _candidates(_keyed(docs), items, config)
     words = rows.select("doc_id", "h", "size", tokens(F.col("text"), False).alias("words"))
     found = words.select("doc_id", "h", "size", F.size("words").alias("n"), F.posexplode(windows("words", config)).alias("at", "w")) \
         .where("w is not null").join(keys, "w").withColumn("p", _place("at", "n", config))

@@ -50,6 +50,19 @@ def test_number_before_a_full_stop_is_the_same_value(spark):
     assert got.n_windows == got.total_windows and not got.exact
 
 
+def test_only_texts_with_half_a_window_of_an_item_are_searched(spark):
+    """A copied item is found wherever it starts; texts that share no half window leave before windows are made."""
+    item = "Anna took the red boat over the lake while it rained all day long"
+    copies = [(i, "x " * i + item, None, None, None) for i in range(11)]
+    others = [(i, f"word{i} the red cup " * 9, None, None, None) for i in range(20, 30)]
+    docs = spark.createDataFrame(copies + others, "doc_id long, text string, lang string, source string, n_chars int")
+    items = spark.createDataFrame([(1, item.lower())], "item_id long, text string")
+    config = decontamination.TemplateConfig()
+    near = decontamination._candidates(decontamination._keyed(docs), decontamination._items(items, config), config)
+    assert sorted(r.doc_id for r in near.collect()) == list(range(11))
+    assert sorted(r.doc_id for r in decontamination.matches(docs, items).collect()) == list(range(11))
+
+
 def test_a_passage_of_a_long_item_is_found(spark):
     words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500)]
     words[100:125] = ("and Tom paid 12 dollars for the red kite while Tom kept 5 more coins for bread and gave Anna "

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from namebridge.operators.blocking import spread_rows
+
 _LINEAGE = ["_source_file", "_bronze_loaded_at"]
 
 # Column names of the register files.
@@ -48,10 +50,19 @@ def optional_column(df: DataFrame, name: str, as_type: str = "string") -> Column
 
 
 def keep_one(df: DataFrame, key: list[str]) -> DataFrame:
-    """One row per key, always the same: the latest load, then the least by all other columns."""
+    """One row per key, always the same: the latest load, then the least by all other columns.
+
+    Copies of a register shrink to a small part in the shuffle but not in the sort, so partitions are not merged by bytes.
+    """
     rest = [c for c in df.columns if c not in (*key, *_LINEAGE)]
-    order = Window.partitionBy(*key).orderBy(F.desc("_bronze_loaded_at"), *rest, "_source_file")
-    return df.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    source = [c for c in df.columns if c == "_source_file"]
+    order = Window.partitionBy(*key).orderBy(F.desc("_bronze_loaded_at"), *rest, *source)
+    return spread_rows(df, *key).withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+
+
+def _lineage(bronze: DataFrame) -> list[str]:
+    """The load time, and the source file unless the caller has dropped it."""
+    return [c for c in _LINEAGE if c in bronze.columns]
 
 
 def silver_entities(lei_bronze: DataFrame) -> DataFrame:
@@ -62,7 +73,7 @@ def silver_entities(lei_bronze: DataFrame) -> DataFrame:
         column("Entity.LegalName").alias("legal_name"),
         *optional,
         address.alias("legal_address"),
-        *_LINEAGE,
+        *_lineage(lei_bronze),
     )
     return keep_one(selected.filter(F.col("lei").isNotNull()), ["lei"])
 
@@ -79,7 +90,7 @@ def silver_relationships(rr_bronze: DataFrame) -> DataFrame:
         *[column(source).alias(name) for name, source in _EDGE_COLUMNS.items()],
         optional_column(rr_bronze, "Relationship.Period.1.startDate", "date").alias("period_start"),
         optional_column(rr_bronze, "Relationship.Period.1.endDate", "date").alias("period_end"),
-        *_LINEAGE,
+        *_lineage(rr_bronze),
     )
     given = selected.filter(F.col("child_lei").isNotNull() & F.col("parent_lei").isNotNull())
     return keep_one(given, ["child_lei", "parent_lei", "relationship_type"])

@@ -8,6 +8,7 @@ from namebridge.contracts import CLIENT_RAW, check
 from namebridge.operators.ingest import ingest_clients, ingest_internal, rejected_clients
 from namebridge.operators.normalise import clean_clients, clean_internal
 from namebridge.operators.register import entities_for_matching, silver_entities, silver_relationships
+from namebridge.plans import queries
 from namebridge.sources.csv_files import read_register_csv, read_upload_csv
 from namebridge.sources.export import export_bundle
 from namebridge.sources.headers import normalise_header, unique_headers
@@ -120,6 +121,26 @@ def test_the_latest_load_wins(spark):
         assert got == {"L1": "Zeta", "L2": "A"}
 
 
+def test_register_without_source_file_is_shuffled_once_and_sorted_once(spark, rows):
+    """The path of the file is long in memory; a caller who does not want it does not sort it."""
+    late = datetime(2024, 2, 1)
+    bronze = spark.createDataFrame(
+        [("L1", "B", late), ("L1", "A", late), ("L1", "A", late), (None, "C", late)],
+        "LEI string, `Entity.LegalName` string, _bronze_loaded_at timestamp",
+    )
+    silver = silver_entities(bronze)
+    assert "_source_file" not in silver.columns and rows(silver, "lei", "legal_name") == [("L1", "A")]
+    plan = silver._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Partial" not in plan
+
+
+def test_register_files_of_the_queries_are_compressed(spark):
+    path = queries._as_file(spark.createDataFrame([("a\nb",)] * 500, "v string"), "gz", ["V"], "gzip")
+    back = read_register_csv(spark, path)
+    assert all(f.endswith(".csv.gz") for f in back.inputFiles())
+    assert back.count() == 500 and back.first().V == "a\nb"
+
+
 def test_contract_violation_is_named(spark):
     table = spark.createDataFrame([("C1", 5)], "client_entity_id string, submitted_name int")
     with pytest.raises(ValueError, match=r"submitted_name string \(found int\).*lei string \(found nothing\)"):

@@ -14,6 +14,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a table that a task takes at most: a document becomes many sentences, each of which is cleaned.
+TASK_ROWS = 10_000
+
 _DIALECTS = {
     "spark": {
         "sentences": r"lateral view posexplode(split({text}, r'[.\n]+')) s as pos, sentence",
@@ -156,9 +159,10 @@ def view_sql(dialect: str) -> dict[str, str]:
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """The table; a table of few files, read by few tasks, is spread over all cores first."""
+    """The table; one of few files for its rows, which few tasks would read, is spread over all cores or more tasks first."""
     table, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    tasks = max(cores, -(-table.count() // TASK_ROWS))
+    return table.repartition(tasks) if len(table.inputFiles()) < tasks else table
 
 
 def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

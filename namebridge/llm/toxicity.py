@@ -241,9 +241,10 @@ def log_odds(rows: DataFrame, of_class: list[int]) -> list[np.ndarray]:
 
     counts = rows.select("toxic", "codes").mapInArrow(K.tidy(run), "half int, label int, row int, n long")
     hits = np.ones((2, 2, ROWS))
-    # At most four numbers for each of the 65,536 rows of a table.
-    for r in counts.groupBy("half", "label", "row").agg(F.sum("n").alias("n")).collect():
-        hits[r.half, r.label, r.row] += r.n
+    # At most four numbers for each of the 65,536 rows of a table, as columns: so many row objects fill the driver.
+    got = counts.groupBy("half", "label", "row").agg(F.sum("n").alias("n")).toArrow()
+    half, label, row, n = (got.column(c).to_numpy() for c in ("half", "label", "row", "n"))
+    hits[half, label, row] += n
     total = np.array(of_class) + 2
     return [np.log(h[1] / total[1]) - np.log(h[0] / total[0]) for h in hits]
 
@@ -293,15 +294,22 @@ def mixed(rows: DataFrame, model: Model, config: ToxicityConfig, epochs: int, tu
     changes = rows.groupBy("task").applyInArrow(run, schema)
     # As many rows as the model has; written, so that the shuffles of each epoch are freed.
     sums = changes.groupBy("part", "row").agg(F.count("*").alias("n"), *(F.sum(v).alias(v) for v in values))
-    got = written(sums, "toxicity-changes").toArrow()
-    part, row, n = (got.column(c).to_numpy() for c in ("part", "row", "n"))
-    mean = np.stack([got.column(v).to_numpy() for v in values], 1) / 2.0**32 / n[:, None]
+    means = [(F.col(v) / F.lit(2.0**32) / F.col("n")).alias(v) for v in values]
+    mean = written(sums, "toxicity-changes").select("part", "row", *means)
+    shared.destroy()  # else the driver holds the models of all epochs
     for half in range(2):
-        model.tables[half][row[part == half]] += mean[part == half].astype(np.float32)
+        # A table at a time, in the numbers that it holds.
+        got = mean.where(F.col("part") == half).select("row", *(F.col(v).cast("float").alias(v) for v in values)).toArrow()
+        row = got.column("row").to_numpy()
+        for i, v in enumerate(values):
+            model.tables[half][row, i] += got.column(v).to_numpy()
+    got = mean.where(F.col("part") == 2).toArrow()
+    order = np.argsort(got.column("row").to_numpy())
     dense = _dense(model)
-    order = np.argsort(row[part == 2])
-    _set_dense(model, dense + mean[part == 2][order].ravel()[: len(dense)])
-    shared.unpersist()
+    change = np.stack([got.column(v).to_numpy() for v in values], 1)[order].ravel()
+    _set_dense(model, dense + change[: len(dense)])
+    del got
+    K.release()
 
 
 def calibrate(model: Model, rows: DataFrame, config: ToxicityConfig) -> None:
@@ -323,6 +331,7 @@ def calibrate(model: Model, rows: DataFrame, config: ToxicityConfig) -> None:
     steps = rows.select("grp", "toxic", "codes").mapInArrow(K.tidy(run), "grp int, toxic int, step int")
     counts = steps.groupBy("grp", "step").agg(
         F.sum("toxic").alias("positive"), F.sum(1 - F.col("toxic")).alias("negative")).collect()
+    shared.destroy()
     if not counts:
         return
     grp, step, positive, negative = np.array([tuple(r) for r in counts], np.int64).T

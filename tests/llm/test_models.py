@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -196,3 +197,14 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     again = toxicity.train(docs.repartition(3), labels, config)
     assert all(np.array_equal(a, b) for a, b in zip(model.tables, again.tables, strict=True))
     assert again.thresholds == pytest.approx(model.thresholds, abs=0.01)
+
+
+def test_toxicity_leaves_no_model_of_its_epochs_on_the_driver(spark, monkeypatch):
+    """All models that training sends out are dropped again, on the driver too."""
+    context, sent = spark.sparkContext, []
+    monkeypatch.setattr(context, "broadcast", lambda value, send=context.broadcast: sent.append(send(value)) or sent[-1])
+    docs = spark.createDataFrame([(i, f"plain {'vileword' if i % 4 == 0 else 'word'} w{i}") for i in range(200)],
+                                 "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 4 = 0 as int) as toxic")
+    toxicity.train(docs, labels, toxicity.ToxicityConfig(rows_per_task=60, epochs=2))
+    assert len(sent) == 3 and not any(os.path.exists(b._path) for b in sent)

@@ -155,6 +155,8 @@ def least_shared(n: int, percent: int = 75) -> int:
 
 _DEALT = "kind int, bucket long, flush long, x binary, y binary, z binary"
 _DEALT_NAMES = ["kind", "bucket", "flush", "x", "y", "z"]
+_DEALT_ARROW = pa.schema(list(zip(_DEALT_NAMES, [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3], strict=True)))
+_REGIONS_ARROW = pa.schema([("k1", pa.int64()), ("region", pa.int64())])
 #: Flag beside a document's number within its flush: its task has counted the entry as shared.
 _KNOWN = 1
 
@@ -240,7 +242,7 @@ def _node(flush: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return (flush.astype(np.int64) << 21) | doc.astype(np.int64)
 
 
-def _meet(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     """For one bucket: how many entries of each document others share (kind 3), and pivots (kind 4)."""
     if rows["bucket"].iloc[0] < 0:
         return rows
@@ -278,7 +280,7 @@ def _summed(doc: np.ndarray, region: np.ndarray, times: np.ndarray) -> tuple[np.
     return doc[new], region[new], np.add.reduceat(times, new)
 
 
-def _regions(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _regions(rows: pd.DataFrame) -> pd.DataFrame:
     """For one flush: the documents that share enough of their first half to have a link, with their regions."""
     facts = rows[rows["kind"] == 2]
     flush = np.int64(facts["flush"].iloc[0])
@@ -325,9 +327,9 @@ def _members(rows: DataFrame, late, cells: int, config: JoinConfig) -> DataFrame
     buckets = 1
     while buckets * 800_000 < cells / 2:
         buckets *= 2
-    dealt = written(_prefixes(rows.select("text"), late, buckets, config).groupBy("bucket").applyInPandas(
-        _meet, _DEALT), "dealt")
-    members = dealt.groupBy("flush").applyInPandas(_regions, "k1 long, region long")
+    dealt = written(_prefixes(rows.select("text"), late, buckets, config).groupBy("bucket").applyInArrow(
+        K.tidy_groups(_meet, _DEALT_ARROW), _DEALT), "dealt")
+    members = dealt.groupBy("flush").applyInArrow(K.tidy_groups(_regions, _REGIONS_ARROW), "k1 long, region long")
     return written(members.distinct(), "members")
 
 
@@ -432,19 +434,32 @@ def _links(sets: list[np.ndarray], active: np.ndarray, config: JoinConfig) -> li
 _LINK = "a1 long, a2 long, b1 long, b2 long"
 
 
+_LINK_ARROW = pa.schema([(c, pa.int64()) for c in ("a1", "a2", "b1", "b2")])
+
+
 def _region_links(config: JoinConfig):
-    def run(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def found(batches: Iterator[pa.RecordBatch]) -> list[tuple[int, int, int, int]]:
+        frames, views = [], []
+        for batch in batches:  # the sets stay where Arrow has them, once
+            frames.append(batch.select(["region", "cell", "k1", "k2", "active"]).to_pandas())
+            views += K.binary_views(batch.column("shingles"), U64)
+        rows = pd.concat(frames, ignore_index=True).sort_values("active", ascending=False, kind="stable")
         out = []
-        for _, part in rows.groupby(["region", "cell"], sort=False):
-            part = part.drop_duplicates(["k1", "k2"]) if "active" not in part else (
-                part.sort_values("active", ascending=False).drop_duplicates(["k1", "k2"]))
+        for _, part in rows.drop_duplicates(["region", "cell", "k1", "k2"]).groupby(["region", "cell"], sort=False):
             if len(part) < 2:
                 continue
-            sets = [np.frombuffer(s, U64) for s in part["shingles"]]
+            sets = [views[i] for i in part.index]
             k1, k2 = part["k1"].to_numpy(), part["k2"].to_numpy()
             active = part["active"].to_numpy().astype(bool)
             out += [(k1[i], k2[i], k1[j], k2[j]) for i, j in _links(sets, active, config)]
-        return pd.DataFrame(out, columns=["a1", "a2", "b1", "b2"], dtype="int64")
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            links = np.array(found(batches), np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, i].copy()) for i in range(4)], schema=_LINK_ARROW)
+        finally:
+            K.release()
 
     return run
 
@@ -453,7 +468,7 @@ def _join_buckets(rows: DataFrame, cells: int, config: JoinConfig) -> DataFrame:
     """Joins regions of known size, many to a task."""
     tasks = max(1, -(-cells // config.region_cells))
     return rows.withColumn("_bucket", F.pmod(F.xxhash64("region", "cell"), F.lit(tasks))).groupBy("_bucket") \
-        .applyInPandas(_region_links(config), _LINK)
+        .applyInArrow(_region_links(config), _LINK)
 
 
 def _split_large(large: DataFrame, config: JoinConfig) -> tuple[DataFrame, DataFrame]:

@@ -81,6 +81,34 @@ def tidy(run: Callable, limit: int = 1 << 23, keeps: bool = False) -> Callable:
     return inner
 
 
+def tidy_groups(run: Callable, schema: pa.Schema) -> Callable:
+    """A function of a group's data frame as one of its batches (``applyInArrow``) that releases memory after each group.
+
+    With ``applyInPandas`` Spark holds the group's frame until after the function, so that it cannot be released.
+    """
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            out = run(pa.Table.from_batches(batches).to_pandas())
+            yield from pa.Table.from_pandas(out, schema=schema, preserve_index=False).to_batches()
+            del out
+        finally:
+            release()
+
+    return inner
+
+
+def binary_views(column: pa.Array, dtype: type) -> list[np.ndarray]:
+    """Each value of a binary column without nulls as an array over the column's own memory."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return []
+    _, raw, data = column.buffers()
+    offsets = np.frombuffer(raw, np.int64, len(column) + 1, column.offset * 8)
+    bytes_ = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return [bytes_[a:b].view(dtype) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
 def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows with about ``limit`` bytes; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

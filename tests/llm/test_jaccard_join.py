@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from namebridge.llm import jaccard_join as J
@@ -77,3 +80,25 @@ def test_the_row_that_stays_does_not_depend_on_partitions(spark):
     rows += [(2, text + " ", "a", "s", 0), (3, text.upper(), "a", "s", 0)]
     kept = {tuple(map(tuple, J.keep_one(table(spark, rows).repartition(n, "n_chars")).collect())) for n in (1, 2, 3, 5)}
     assert len(kept) == 1 and len(next(iter(kept))) == 1 and next(iter(kept))[0][0] == 1
+
+
+def test_a_task_holds_the_sets_of_its_regions_once(monkeypatch):
+    released = []
+    monkeypatch.setattr(J.K, "release", lambda: released.append(True))
+    half, n = 200, 2000
+    sets = [np.arange(i // 2 * half, (i // 2 + 1) * half + i % 2, dtype=np.uint64).tobytes() for i in range(n)]
+    batches = [pa.record_batch({
+        "region": pa.array([i // 2 for i in part]), "cell": [""] * len(part), "k1": pa.array(part), "k2": pa.array(part),
+        "active": [True] * len(part), "shingles": pa.array([sets[i] for i in part], pa.binary())})
+        for part in np.array_split(np.arange(n).tolist(), 4)]
+    total = sum(map(len, sets))
+    del sets
+    tracemalloc.start()
+    try:
+        got = pa.Table.from_batches(J._region_links(J.JoinConfig())(iter(batches))).to_pydict()
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert sorted(sorted(p) for p in zip(got["a1"], got["b1"], strict=True)) == [[i, i + 1] for i in range(0, n, 2)]
+    assert most < total, (most, total)  # before: each set once more, as an object
+    assert released

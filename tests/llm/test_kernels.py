@@ -1,3 +1,5 @@
+import weakref
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -47,3 +49,28 @@ def test_short_texts_have_one_shingle():
         starts, ends, first = K.words(data, np.array([0, len(data)]))
         values, begin = K.shingles(K.span_hashes(data, starts, ends), first)
         assert len(values) == count == begin[-1]
+
+
+def test_views_share_the_memory_of_their_column():
+    column = pa.array([np.arange(k, dtype=np.uint64).tobytes() for k in range(5)], pa.binary())
+    whole = np.frombuffer(column.buffers()[2], np.uint8)
+    views = K.binary_views(column.slice(2), np.uint64)
+    assert [v.tolist() for v in views] == [list(range(k)) for k in range(2, 5)]
+    assert all(np.shares_memory(v, whole) for v in views)
+    assert K.binary_views(column[:0], np.uint64) == []
+
+
+def test_a_group_is_given_up_before_memory_is_released(monkeypatch):
+    frames, gone = [], []
+    monkeypatch.setattr(K, "release", lambda: gone.append(frames[-1]() is None))
+
+    def run(rows):
+        frames.append(weakref.ref(rows))
+        return rows.assign(x=rows["x"] + 1)
+
+    schema = pa.schema([("x", pa.int32())])
+    group = K.tidy_groups(run, schema)
+    for _ in range(2):
+        out = pa.Table.from_batches(group(iter([pa.record_batch({"x": [1, 2]}), pa.record_batch({"x": [3]})])), schema)
+        assert out["x"].to_pylist() == [2, 3, 4]
+    assert gone == [True, True]

@@ -162,10 +162,11 @@ _KNOWN = 1
 
 
 def _prefixes(rows: DataFrame, frequent, buckets: int, config: JoinConfig) -> DataFrame:
-    """Per flush: entries by bucket (kind 0), links to the flush's pivots (1), and documents (2).
+    """Per flush: entries by bucket (kind 0), the holders of entries that several documents hold (1), and documents (2).
 
     A document is named by its flush and its number there. Entries cover the first half of each set in the
-    order. A flush sends one entry per shingle.
+    order. A flush sends one entry per shingle. Those of several documents are numbered in order; a bucket's
+    entries come with the number of the first of them.
     """
     bits = (buckets - 1).bit_length()
 
@@ -177,22 +178,21 @@ def _prefixes(rows: DataFrame, frequent, buckets: int, config: JoinConfig) -> Da
         v, doc = v[order], doc[order]
         at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         count = np.diff(np.append(at, len(v)))
-        shared = np.repeat(count > 1, count)
-        known = np.bincount(doc[shared], minlength=len(parts)).astype(np.uint32)
-        lead = np.repeat(doc[at], count)
-        pairs, times = _counted(doc[shared], lead[shared])
+        several = count > 1
+        holders = doc[np.repeat(several, count)]
+        number = np.concatenate([[0], np.cumsum(several)])
         v = v[at]
-        ref = (doc[at] << 1) | (count > 1).astype(np.uint32)
+        ref = (doc[at] << 1) | several.astype(np.uint32)
         where = (v >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(v), np.int64)
         edge = np.searchsorted(where, np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(edge))
         # 40 bits behind the bucket's: taking two shingles for one adds a candidate and nothing else
         short = ((v << U64(bits)) >> U64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
         facts_ = [np.array([f[k] for f in facts], t) for k, t in ((0, np.int64), (1, np.uint32))]
-        rows_ = [(0, int(b), flush, short[edge[b] : edge[b + 1]].tobytes(), ref[edge[b] : edge[b + 1]].tobytes(), None)
-                 for b in used]
-        rows_.append((1, -1 - flush % buckets, flush, pairs[0].tobytes(), pairs[1].tobytes(), times.tobytes()))
-        rows_.append((2, -1 - flush % buckets, flush, facts_[0].tobytes(), facts_[1].tobytes(), known.tobytes()))
+        rows_ = [(0, int(b), flush, short[edge[b] : edge[b + 1]].tobytes(), ref[edge[b] : edge[b + 1]].tobytes(),
+                  number[edge[b]].tobytes()) for b in used]
+        rows_.append((1, -1 - flush % buckets, flush, holders.tobytes(), count[several].astype(np.uint32).tobytes(), None))
+        rows_.append((2, -1 - flush % buckets, flush, facts_[0].tobytes(), facts_[1].tobytes(), None))
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows_, strict=True), kinds, strict=True)], names=_DEALT_NAMES)
@@ -243,7 +243,11 @@ def _node(flush: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _meet(rows: pd.DataFrame) -> pd.DataFrame:
-    """For one bucket: how many entries of each document others share (kind 3), and pivots (kind 4)."""
+    """For one bucket, of entries that flushes share: how many each document has (kind 3), and their pivots.
+
+    Entries of one document of their flush are counted by document and pivot (4); those of several documents
+    keep their number (5), as each of these has its own part of them.
+    """
     if rows["bucket"].iloc[0] < 0:
         return rows
     raw = np.frombuffer(b"".join(rows["x"]), np.uint8).reshape(-1, 5)
@@ -251,22 +255,28 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     wide[:, :5] = raw
     v = wide.view("<u8").ravel()
     ref = np.frombuffer(b"".join(rows["y"]), np.uint32)
-    flush = np.repeat(rows["flush"].to_numpy(), [len(y) // 4 for y in rows["y"]])
-    node = _node(flush, ref >> 1)
+    size = np.array([len(y) // 4 for y in rows["y"]])
+    node = _node(np.repeat(rows["flush"].to_numpy(), size), ref >> 1)
+    known = (ref & _KNOWN) == 1
+    before = np.cumsum(known) - known
+    number = before + np.repeat(np.frombuffer(b"".join(rows["z"]), np.int64) - before[np.cumsum(size) - size], size)
     order = np.lexsort((node, v))
-    v, node, ref = v[order], node[order], ref[order]
+    v, node, known, number = v[order], node[order], known[order], number[order].astype(np.uint32)
     at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
     count = np.diff(np.append(at, len(v)))
     shared = np.repeat(count > 1, count)
-    new = shared & ((ref & _KNOWN) == 0)
+    new = shared & ~known
     nodes, times = np.unique(node[new], return_counts=True)
     lead = np.repeat(node[at], count)
-    pairs, weights = _counted(node[shared], lead[shared])
+    pairs, weights = _counted(node[new], lead[new])
+    other = np.flatnonzero(shared & known & (lead != node))
+    other = other[np.argsort(node[other] >> 21, kind="stable")]
     out = []
-    for kind, of, *others in ((3, nodes, times.astype(np.uint32)), (4, pairs[0], pairs[1], weights)):
+    for kind, of, *columns in ((3, nodes, nodes, times.astype(np.uint32)), (4, pairs[0], *pairs, weights),
+                               (5, node[other], number[other], lead[other])):
         home = of >> 21
         for part in np.split(np.arange(len(of)), np.flatnonzero(home[1:] != home[:-1]) + 1) if len(of) else []:
-            packed = [x[part].tobytes() for x in (of, *others)]
+            packed = [x[part].tobytes() for x in columns]
             out.append((kind, 0, int(home[part[0]]), *packed, *[None] * (3 - len(packed))))
     return pd.DataFrame(out, columns=_DEALT_NAMES)
 
@@ -284,33 +294,27 @@ def _regions(rows: pd.DataFrame) -> pd.DataFrame:
     """For one flush: the documents that share enough of their first half to have a link, with their regions."""
     facts = rows[rows["kind"] == 2]
     flush = np.int64(facts["flush"].iloc[0])
-    k1, need, known = (np.frombuffer(facts[c].iloc[0], t) for c, t in (("x", np.int64), ("y", np.uint32), ("z", np.uint32)))
-    have = known.astype(np.int64)
+    k1, need = (np.frombuffer(facts[c].iloc[0], t) for c, t in (("x", np.int64), ("y", np.uint32)))
     low = (1 << 21) - 1
-    for x, y in rows.loc[rows["kind"] == 3, ["x", "y"]].itertuples(index=False):
-        have[np.frombuffer(x, np.int64) & low] += np.frombuffer(y, np.uint32)
-    passing = have >= need
 
     def packed(kind: int, *types) -> list[np.ndarray]:
         part = rows[rows["kind"] == kind]
-        return [np.frombuffer(b"".join(part[c]), t).astype(np.int64) for c, t in zip("xyz", types, strict=True)]
-
-    own, lead, times = packed(1, np.uint32, np.uint32, np.uint32)
-    keep = passing[own]
-    own, lead, times = own[keep], lead[keep], times[keep]
+        return [np.frombuffer(b"".join(part[c]), t).astype(np.int64) for c, t in zip("xyz", types, strict=False)]
+
+    # An entry of several documents lies with the first of them, or with the pivot that its bucket found.
+    holders, size = packed(1, np.uint32, np.uint32)
+    pivot = _node(flush, holders[np.cumsum(size) - size])
+    number, lead = packed(5, np.uint32, np.int64)
+    pivot[number] = lead
+    have = np.bincount(holders, minlength=len(need))
+    alone, times = packed(3, np.int64, np.uint32)
+    np.add.at(have, alone & low, times)
+    passing = have >= need
     node, top, weight = packed(4, np.int64, np.int64, np.uint32)
-    node, top, weight = _summed(node & low, top, weight)
-    # A document's entries lie with a pivot directly, or by way of the pivot of its flush; then the number of
-    # its entries with the latter bounds that with the former.
-    other = own != lead
-    begin, end = np.searchsorted(node, lead[other]), np.searchsorted(node, lead[other], "right")
-    count = end - begin
-    at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    direct = passing[node]
-    doc, region, times = _summed(
-        np.concatenate([node[direct], np.repeat(own[other], count), own]),
-        np.concatenate([top[direct], top[at], _node(flush, lead)]),
-        np.concatenate([weight[direct], np.repeat(times[other], count), times]))
+    doc, region = np.concatenate([node & low, holders]), np.concatenate([top, np.repeat(pivot, size)])
+    times = np.concatenate([weight, np.ones(len(holders), np.int64)])
+    stay = passing[doc]
+    doc, region, times = _summed(doc[stay], region[stay], times[stay])
     # Linked documents share at least ``need`` entries, so they still meet if each leaves the regions in
     # which it has the fewest, as long as these hold less than half of that number.
     order = np.lexsort((region, times, doc))

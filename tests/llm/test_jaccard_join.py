@@ -102,3 +102,20 @@ def test_a_task_holds_the_sets_of_its_regions_once(monkeypatch):
     assert sorted(sorted(p) for p in zip(got["a1"], got["b1"], strict=True)) == [[i, i + 1] for i in range(0, n, 2)]
     assert most < total, (most, total)  # before: each set once more, as an object
     assert released
+
+
+def test_a_document_is_only_in_regions_of_its_own_shingles(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    texts = [one, "other words that nobody else has", f"{one} {two}", two]  # two tasks: the third is the pivot of the fourth there
+    rows = spark.createDataFrame(spark.sparkContext.parallelize([(t,) for t in texts], 2), "text string")
+    late = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
+    found = {}
+    for r in J._members(rows, late, 500, J.JoinConfig()).collect():
+        found.setdefault(r.k1, set()).add(r.region)
+
+    def regions(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return found[int(J._keys(J._sets(data, np.array([0, len(data)]), 5))[1][0])]
+
+    assert regions(texts[2]) & regions(one) and regions(texts[2]) & regions(two)
+    assert not regions(one) & regions(two)  # before: all regions of the third were taken over by the fourth

@@ -1,6 +1,7 @@
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark.sql import functions as F
 
 from namebridge.config import MatchConfig
 from namebridge.operators import candidates as cand
@@ -41,6 +42,33 @@ def test_candidates_are_distinct_with_and_without_the_deduplication(spark, rows)
     assert rows(cand.generate_candidates(twice, right), *cand.CANDIDATE_KEY) == checked
 
 
+def test_pairs_are_only_deduplicated_where_an_id_repeats(spark, rows):
+    left, right = random_clients_and_reference(spark)
+
+    def aggregates(candidates):
+        return "Deduplicate [client_entity_id" in candidates._jdf.queryExecution().analyzed().toString()
+
+    assert not aggregates(cand.generate_candidates(left, right))  # before: all pairs were shuffled by their key
+    twice = right.unionByName(right.limit(5))
+    assert aggregates(cand.generate_candidates(left, twice))
+    assert rows(cand.generate_candidates(left, twice), *cand.CANDIDATE_KEY) == rows(
+        cand.generate_candidates(left, right), *cand.CANDIDATE_KEY)
+    nameless = left.union(left.limit(2).withColumn("client_entity_id", F.lit(None).cast("string")))
+    assert aggregates(cand.generate_candidates(nameless, right))
+
+
+def test_register_rows_without_a_client_key_are_not_shuffled(spark, rows, monkeypatch):
+    left, right = random_clients_and_reference(spark)
+    for pairs in (cand.lei_candidates, cand.registration_candidates):
+        few = pairs(left, right)
+        assert "LeftSemi" in few._jdf.queryExecution().optimizedPlan().toString()  # before: the whole register was shuffled
+        monkeypatch.setattr(cand, "KEYS_TO_ALL", 3)
+        many = pairs(left, right)
+        monkeypatch.undo()
+        assert "LeftSemi" not in many._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(few) == rows(many) != []
+
+
 def test_empty_names_pair_only_on_request(spark):
     left, right = clients(spark, ("日本",)), reference(spark, ("L1", "中国"), ("L2", None))
     assert cand.name_only_candidates(left, right).count() == 0

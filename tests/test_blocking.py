@@ -91,3 +91,12 @@ def test_a_hot_key_is_shared_out_at_the_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_rows_are_shuffled_once_to_meet(spark):
+    left = spark.range(100).selectExpr("id as l", "if(id % 2 = 0, 'hot', cast(id as string)) as k")
+    right = spark.range(100).selectExpr("id as r", "if(id < 50, 'hot', cast(id as string)) as k")
+    plan = spread_join(left, right, "k", ["l"], ["r"], 10)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("_salt" in line for line in shuffled)  # before: all rows were shuffled to look up their cells, too
+    assert sum("REPARTITION_BY_NUM" in line for line in shuffled) == 2

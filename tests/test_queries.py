@@ -46,3 +46,17 @@ def test_query_equals_sql(spark, database, name):
 def test_entry(spark):
     result = entry.entry(spark)
     assert result.count() > 0 and "internal_mapping_type" in result.columns
+
+
+def test_the_incremental_query_matches_by_the_index(spark, monkeypatch):
+    given = []
+
+    def run(job):
+        given.append(job.index)
+        raise InterruptedError
+
+    st = queries.stages(spark, SF_DIR)
+    monkeypatch.setattr(queries.ArrivalJob, "run", run)
+    with pytest.raises(InterruptedError):
+        queries.incremental_matches(st)
+    assert given == [st.index()]  # before: none, so each run shuffled the register and compared its pairs one by one

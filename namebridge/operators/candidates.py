@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from namebridge.config import MatchConfig
 from namebridge.functions.text import is_given
-from namebridge.operators.blocking import block_join, spread_join
+from namebridge.operators.blocking import block_join, block_keys, spread_join
 
 EXACT_LEI = "EXACT_LEI"
 REGISTRATION_NUMBER = "REGISTRATION_NUMBER"
 NAME_COUNTRY_BLOCK = "NAME_COUNTRY_BLOCK"
 NAME_ONLY_BLOCK = "NAME_ONLY_BLOCK"
 
+#: Candidate rows that a preview shows.
+PREVIEW_ROWS = 100
 #: Keys of clients that are sent to all tasks of the register; with more, which are counted, both sides are shuffled.
 KEYS_TO_ALL = 200_000
 
@@ -158,5 +160,27 @@ def _repeats(rows: DataFrame, row_id: str) -> bool:
     return not rows.groupBy(row_id).agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty()
 
 
-def candidate_preview(candidates: DataFrame, rows: int = 100) -> DataFrame:
+def clients_in_preview(
+    clients: DataFrame, reference: DataFrame, config: MatchConfig = MatchConfig(), rows: int = PREVIEW_ROWS
+) -> DataFrame:
+    """The rows of ``clients`` of which ``candidate_preview`` can show candidates.
+
+    Each client that shares a key with the register has a candidate row, and rows are shown by client id; so these are
+    the first ``rows`` ids that share one. No pair is built to find them.
+    """
+
+    def with_block(side: DataFrame) -> DataFrame:
+        name = F.col("clean_name")
+        wanted = name.isNotNull() if config.include_empty_block else name != ""
+        return side.filter(wanted).withColumn("_key", F.explode(block_keys(name, config.prefix_length)))
+
+    sides = [_keyed_sides(clients, reference, field) for field in ("lei", "registration_number")]
+    sides.append((with_block(clients), with_block(reference)))
+    found = (left.join(right.select("_key").distinct(), "_key", "left_semi").select("client_entity_id") for left, right in sides)
+    first = reduce(DataFrame.unionByName, found).distinct().orderBy("client_entity_id").limit(rows)
+    first = F.broadcast(first.withColumnRenamed("client_entity_id", "_first"))
+    return clients.join(first, F.col("client_entity_id").eqNullSafe(F.col("_first")), "left_semi")
+
+
+def candidate_preview(candidates: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     return candidates.orderBy(*CANDIDATE_KEY).limit(rows)

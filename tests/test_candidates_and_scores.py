@@ -69,6 +69,17 @@ def test_register_rows_without_a_client_key_are_not_shuffled(spark, rows, monkey
         assert rows(few) == rows(many) != []
 
 
+def test_preview_builds_only_pairs_of_its_clients(spark):
+    left, right = random_clients_and_reference(spark)
+    left = left.union(left.limit(1).withColumn("client_entity_id", F.lit(None).cast("string")))
+    for n in (1, 7, 100):
+        first = cand.clients_in_preview(left, right, rows=n)
+        shown = cand.candidate_preview(cand.generate_candidates(first, right), n).collect()
+        assert shown == cand.candidate_preview(cand.generate_candidates(left, right), n).collect()  # before: of all clients
+        found = cand.generate_candidates(left, right).select("client_entity_id").distinct()
+        assert first.count() == min(n, found.count())
+
+
 def test_empty_names_pair_only_on_request(spark):
     left, right = clients(spark, ("日本",)), reference(spark, ("L1", "中国"), ("L2", None))
     assert cand.name_only_candidates(left, right).count() == 0
